@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, packing, simhash, warc
+from . import bpe, chat, embeddings, oph, packing, simhash, warc
 
 
 def tokenizer(name: str) -> str:
@@ -32,16 +32,24 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.with_adversary(table(spark, folder, "conversations")))
 
 
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return oph.with_next(table(spark, folder, "documents"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pieces(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_warc, op3_simhash, op6_chat, op9_packing)}
+    return {f.__name__: f for f in (op1_bpe, op2_warc, op3_simhash, op5_embeddings, op6_chat, op7_fingerprints, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
