@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxelloom.llm import common, packing, queries, simhash
+from voxelloom.llm import common, packing, quality, queries, simhash, suffixes, toxicity
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.accepted(docs, queries.table(spark, sf_dir, "labels"))
+
+
+def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are predicted toxic go."""
+    return toxicity.accepted(docs, queries.table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,12 +24,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that also start earlier go from the texts; n_chars follows the text."""
+    return suffixes.deduplicated(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
     return packing.pieces(docs, queries.tokenizer("word_bpe_49k.json"))
 
 
-STAGES = [("near copies", near_copies), ("packing", packed)]
+STAGES = [("quality", good), ("toxicity", harmless), ("near copies", near_copies), ("repeated strings", unrepeated), ("packing", packed)]
 
 ORACLE_SQL = None  # tokens, trained scores and fingerprints are beyond SQL
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -67,7 +67,21 @@ def held_out(column: str = "doc_id") -> Column:
 
 
 def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
-    return batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
+    texts = batch.column(batch.schema.get_field_index(column))
+    texts = texts.cast(pa.string()) if not pa.types.is_binary(texts.type) else texts
+    return texts.cast(pa.binary()).fill_null(b"").to_pylist()
+
+
+def kept_rows(df: DataFrame, keep: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """The rows of df whose whole text keep marks, in one pass without a shuffle and with every column."""
+    tuned(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield b.filter(pa.array(keep(as_bytes(b))))
+
+    return df.mapInArrow(run, df.schema)
 
 
 def by_size(texts: list[bytes], limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
@@ -157,7 +171,3 @@ def word_shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarra
         out[more] = mix(out[more] * np.uint64(_BASE) + words[at[more] + k])
     return out, owner[at]
 
-
-def clash_free(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the columns that an operator needs, so that others cannot clash with its own."""
-    return df.select(*columns)

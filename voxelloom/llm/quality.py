@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, held_out, id_of, text_of, tuned, written
+from .common import as_bytes, held_out, id_of, kept_rows, text_of, tuned, written
 from .labels import PER_CLASS, labelled_sample
 
 FEATURES, GAMMA, RIDGE, SEED = 256, 0.12, 1e-3, 42
@@ -66,6 +66,10 @@ class Model:
     def score(self, x: np.ndarray) -> np.ndarray:
         return np.interp(self.raw(x), self.steps, self.values)
 
+    def of(self, texts: list[bytes]) -> np.ndarray:
+        """The score of each whole text."""
+        return np.clip(self.score(np.array([statistics(t) for t in texts])), 0, 1) if texts else np.zeros(0)
+
 
 def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pooled adjacent violators: the mean raw score and the label share of each pool, shares smoothed by one row in two.
@@ -84,27 +88,23 @@ def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x, v
 
 
-def document_statistics(df: DataFrame) -> DataFrame:
-    """(doc_id, x: array of STATISTICS numbers) of each whole text, in one pass without a shuffle."""
-    tuned(df.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([statistics(t) for t in as_bytes(b)], pa.list_(pa.float64()))], ["doc_id", "x"])
-
-    return df.select(id_of().alias("doc_id"), text_of().alias("text")).mapInArrow(run, "doc_id long, x array<double>")
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), STATISTICS)
 
 
-def fit(stats: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Normal equations summed by partition over the bounded labelled sample; three folds fit, the fourth calibrates.
 
     Without rows of both classes the score is the share of the label, or 1 without any.
     """
-    rows, _ = written(stats.join(F.broadcast(labelled_sample(labels, "quality", per_class)), "doc_id").select("x", "y", "fold").repartition(8), "labelled")
+    tuned(docs.sparkSession)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([statistics(t) for t in as_bytes(b)], pa.list_(pa.float64())), *b.columns[1:]], ["x", "y", "fold"])
+
+    sample = docs.select(id_of().alias("doc_id"), text_of().alias("text")).join(F.broadcast(labelled_sample(labels, "quality", per_class)), "doc_id")
+    rows, _ = written(sample.select("text", "y", "fold").mapInArrow(describe, "x array<double>, y int, fold int").repartition(8), "labelled")
     moments = rows.select(*[F.array(*[f(F.col("x")[i]) for i in range(STATISTICS)]).alias(n) for n, f in (("m", F.avg), ("s", F.stddev_pop))], F.avg("y").alias("share")).first()
     rng = np.random.default_rng(SEED)
     turn, shift = rng.normal(0, np.sqrt(2 * GAMMA), (STATISTICS, FEATURES)), rng.uniform(0, 2 * np.pi, FEATURES)
@@ -140,13 +140,19 @@ def scores(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Data
     Null, empty and blank texts get the score of all-zero statistics. Null ids are scored and never held out. Rows that
     repeat give equal scores. An empty table gives no rows. Other columns are ignored.
     """
-    stats, _ = written(document_statistics(df), "statistics")
-    model = df.sparkSession.sparkContext.broadcast(fit(stats, labels, per_class))  # FEATURES x STATISTICS numbers
+    tuned(df.sparkSession)
+    model = df.sparkSession.sparkContext.broadcast(fit(df, labels, per_class))  # FEATURES x STATISTICS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = np.clip(model.value.score(_matrix(b.column(1))), 0, 1) if b.num_rows else np.zeros(0)
+            s = model.value.of(as_bytes(b))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= ACCEPT).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    out = stats.mapInArrow(run, "doc_id long, score double, predicted int")
+    out = df.select(id_of().alias("doc_id"), text_of().alias("text")).mapInArrow(run, "doc_id long, score double, predicted int")
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def accepted(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of df that the classifier accepts, scored as scores does."""
+    model = df.sparkSession.sparkContext.broadcast(fit(df, labels, per_class))
+    return kept_rows(df, lambda texts: model.value.of(texts) >= ACCEPT)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embeddings, oph, packing, simhash, warc
+from . import bpe, chat, embeddings, oph, packing, quality, simhash, suffixes, toxicity, warc
 
 
 def tokenizer(name: str) -> str:
@@ -32,6 +32,10 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -44,12 +48,20 @@ def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return oph.with_next(table(spark, folder, "documents"))
 
 
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.digests(table(spark, folder, "documents"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pieces(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_warc, op3_simhash, op5_embeddings, op6_chat, op7_fingerprints, op9_packing)}
+    return {f.__name__: f for f in (op1_bpe, op2_warc, op3_simhash, op4_quality, op5_embeddings, op6_chat, op7_fingerprints, op8_suffixes, op9_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

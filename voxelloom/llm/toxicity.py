@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, held_out, id_of, text_of, tuned, written
+from .common import as_bytes, held_out, id_of, kept_rows, text_of, tuned, written
 from .labels import PER_CLASS, labelled_sample
 
 #: Lengths in bytes of the word beginnings that carry log-odds besides the whole word.
@@ -236,3 +236,10 @@ def scores(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Data
     Rows that repeat give equal scores. An empty table gives no rows. Other columns are ignored.
     """
     return passages(df, labels, per_class).select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= FLAG, 1).otherwise(0).alias("predicted"))
+
+
+def accepted(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of df that are not predicted toxic, scored as scores does."""
+    tuned(df.sparkSession)
+    model = df.sparkSession.sparkContext.broadcast(fit(df, labels, per_class))
+    return kept_rows(df, lambda texts: np.array([model.value.score(t)[0] < FLAG for t in texts], dtype=bool))
