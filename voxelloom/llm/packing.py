@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 from .common import as_bytes, id_of, text_of, tuned, written
 
 #: Words whose ids a worker keeps; beyond it the store starts anew, which changes no result.
-KEPT = 600_000
+KEPT = 1_200_000
 WINDOW = 4096
+#: Lower-case letters (or any bytes beyond ASCII), then marks of ASCII alone.
+_PARTED = re.compile(rb"^([a-z\x80-\xff]+)([!-/:-@\[-`{-~]+)$")
 #: Closes each document.
 END = 2
 
@@ -23,7 +26,10 @@ _open: dict = {}
 
 
 class Words:
-    """Ids by a tokenizers file that drops white space: each run without ASCII white space is encoded once."""
+    """Ids by a tokenizers file that drops white space: each run without ASCII white space is encoded once.
+
+    Ids are kept in two bytes each if the vocabulary lets them, else in four (kind).
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -31,17 +37,54 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.between_id, token = next((i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and t.content.startswith("<|"))
+        self.between = token.content
+        size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.closes = np.zeros(size, dtype=bool)
+        self.closes[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
         self.kept: dict[bytes, bytes] = {}
 
+    def learn(self, words: list[bytes]) -> None:
+        """Encodes new words, many in one call. Letters with marks behind them are two words to the tokenizer, encoded once each."""
+        parted = [(w, *m.groups()) for w in words if (m := _PARTED.match(w))]
+        whole = set(words).difference(w for w, _, _ in parted)
+        need = whole.union(*((c, t) for _, c, t in parted)).difference(self.kept) if parted else whole
+        letters, others, special = [], [], []
+        for w in need:
+            (special if b"<|" in w else letters if w.decode().lower().isalpha() else others).append(w)
+        for at in range(0, len(letters), 4096):
+            part = letters[at : at + 4096]
+            ids = self.ids(" ".join(w.decode() for w in part))
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(part):  # a word each, as letters are
+                self.keep(part, ids, np.append(0, ends[:-1]), ends)
+            else:
+                others += part
+        for at in range(0, len(others), 4096):  # a special token, which none of these holds, keeps them apart
+            part = others[at : at + 4096]
+            ids = self.ids(self.between.join(w.decode() for w in part))
+            cuts = np.flatnonzero(ids == self.between_id)
+            self.keep(part, ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))
+        for w in special:
+            self.kept[w] = self.ids(w.decode()).tobytes()
+        for w, core, tail in parted:
+            core_is_word = core.decode().lower().isalpha()
+            self.kept[w] = self.kept[core] + self.kept[tail] if core_is_word else self.ids(w.decode()).tobytes()
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+
+    def keep(self, words: list[bytes], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        data, w = ids.tobytes(), self.kind.itemsize
+        self.kept.update(zip(words, map(data.__getitem__, map(slice, (w * starts).tolist(), (w * ends).tolist())), strict=True))
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
+        """Each text's ids, packed as kind says."""
         # The vocabulary is lower case; strings of special tokens alone tell A-Z from a-z.
         cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
         new = list(set().union(*map(set, cut)).difference(self.kept))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, coded in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.kept[w] = np.array(coded.ids, dtype="<u4").tobytes()
+        self.learn(new)
         out = [b"".join(map(self.kept.__getitem__, words)) for words in cut]
         if len(self.kept) > KEPT:
             self.kept.clear()
@@ -61,7 +104,6 @@ def tokenised(df: DataFrame, path: str, end: int = END) -> tuple[DataFrame, str]
     boundary: part and before are stored, not derived from how a scan happens to be split.
     """
     tuned(df.sparkSession)
-    last = np.array([end], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -69,8 +111,9 @@ def tokenised(df: DataFrame, path: str, end: int = END) -> tuple[DataFrame, str]
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         words, part, total = vocabulary(path), TaskContext.get().partitionId(), 0
         for b in batches:
+            last, width = np.array([end], dtype=words.kind).tobytes(), words.kind.itemsize
             ids = [i + last for i in words.encode(as_bytes(b))]
-            n = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+            n = np.array([len(i) // width for i in ids], dtype=np.int64)
             before = total + np.cumsum(n) - n
             total += int(n.sum())
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(ids), pa.int32()), b.column(0), pa.array(before), pa.array(n), pa.array(ids, pa.binary())], ["part", "doc_id", "before", "n", "ids"])
@@ -102,11 +145,11 @@ def pack(df: DataFrame, path: str, window: int = WINDOW, end: int = END) -> Data
         for b in batches:
             out: list[list] = [[] for _ in range(8)]
             for part, key, before, n, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                first, view = bases[part] + before, memoryview(ids)
+                first, view = bases[part] + before, np.frombuffer(ids, f"<u{len(ids) // n}")
                 for s in range(first // window, (first + n - 1) // window + 1):
                     lo, hi = max(first, s * window), min(first + n, (s + 1) * window)
                     size = min(window, total - s * window)
-                    for column, value in zip(out, (key, lo - first, hi - lo, bytes(view[4 * (lo - first) : 4 * (hi - first)]), n, s, lo - s * window, size if size & (size - 1) == 0 else window), strict=True):
+                    for column, value in zip(out, (key, lo - first, hi - lo, view[lo - first : hi - first].astype("<u4").tobytes(), n, s, lo - s * window, size if size & (size - 1) == 0 else window), strict=True):
                         column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "padded_length"])
