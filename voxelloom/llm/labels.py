@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import as_bytes, by_size, held_out
+from .oph import sketch
 
 #: Labelled documents of each class that a classifier learns from at most: those with the smallest hashes of doc_id.
 PER_CLASS = 12_000
@@ -22,3 +27,31 @@ def labelled_sample(labels: DataFrame, label: str, per_class: int = PER_CLASS) -
     key = [F.xxhash64(F.lit(label), "doc_id"), F.col("doc_id")]
     each = [rows.filter(F.col("y") == y).orderBy(*key).limit(per_class) for y in (0, 1)]
     return each[0].unionAll(each[1]).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)).cast("int"))
+
+
+#: Bins of the sketches that tell copies inside a sample, and how many bins in a row must agree.
+COPY_BINS, COPY_BAND = 32, 4
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """The rows of a bounded sample (doc_id, text, ...) without near copies of one another: of each group the smallest doc_id stays.
+
+    Copies would count one text's chance words as often as themselves. The driver gets 64 bytes for each of the sample's rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = as_bytes(b)
+            parts = [sketch(texts[i:j], COPY_BINS, 12) for i, j in by_size(texts)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for p in parts for r in p], pa.binary())], ["doc_id", "sketch"])
+
+    seen: dict[tuple[int, bytes], bool] = {}
+    kept = []
+    for r in sorted(sample.select("doc_id", "text").mapInArrow(run, "doc_id long, sketch binary").collect()):
+        values = np.frombuffer(r["sketch"], np.int16)
+        bands = [(k, values[k : k + COPY_BAND].tobytes()) for k in range(0, COPY_BINS, COPY_BAND)]
+        if values[0] < 0 or not any(band in seen for band in bands):
+            kept.append((r["doc_id"],))
+        seen.update(dict.fromkeys(bands, True))
+    ids = sample.sparkSession.createDataFrame(kept or [(None,)], "doc_id long")
+    return sample.join(F.broadcast(ids), "doc_id", "left_semi")

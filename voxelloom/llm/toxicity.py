@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, held_out, id_of, kept_rows, text_of, tuned, written
-from .labels import PER_CLASS, labelled_sample
+from .labels import PER_CLASS, labelled_sample, without_copies
 
 #: Lengths in bytes of the word beginnings that carry log-odds besides the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 #: Features of the model at most, those of the most toxic documents first; and documents that one needs.
 LEXICON, LEAST = 50_000, 3
-#: Weight of the Dirichlet prior, in documents; and the log-likelihood ratio that a feature must reach against chance.
-PRIOR, EVIDENCE = 3.0, 10.0
+#: Weight of the Dirichlet prior, in documents; features that a document is taken to add, whose logarithm the
+#: log-likelihood ratio of a feature must reach against chance; and the log-odds that it needs, and has at most.
+PRIOR, PER_DOCUMENT, LOW, HIGH = 3.0, 100, 1.0, 8.0
 FLAG = 0.5
 #: Words whose weight a worker keeps; beyond it the store starts anew, which changes no result.
 KEPT = 400_000
@@ -116,23 +117,24 @@ def lexicon(docs: DataFrame) -> list[tuple[bytes, np.ndarray]]:
 def log_odds(counts: list[tuple[bytes, np.ndarray]], size: np.ndarray) -> dict[bytes, float]:
     """Log-odds of the features that tell toxic documents: a feature's prior is its longest shorter one's share.
 
-    counts and size hold [harmless, toxic] documents. A feature must beat chance by EVIDENCE, or continue one that
+    counts and size hold [harmless, toxic] documents. A feature must beat the chance of so many features, or continue one that
     does; its share is shrunk to its prior by a Dirichlet weight of PRIOR documents.
     """
-    p = size[1] / size.sum()
+    p, evidence = size[1] / size.sum(), np.log(PER_DOCUMENT * size.sum())
     share: dict[bytes, float] = {}
     out: dict[bytes, float] = {}
     for f, (c, t) in sorted(counts, key=lambda x: (len(x[0]), x[0])):
         parent = next((q for q in (f[:k] for k in reversed(BEGINNINGS) if k < len(f)) if q in share), None)
         n = c + t
         chance = t * np.log(t / (n * p)) + (c * np.log(c / (n * (1 - p))) if c else 0) if t else 0
-        if parent is None and (chance < EVIDENCE or t < n * p):
-            continue
-        if n == 0:
+        if n == 0 or parent is None and (chance < evidence or t < n * p):
             continue
         prior = share[parent] if parent is not None else p
-        share[f] = (t + PRIOR * prior) / (n + PRIOR)
-        out[f] = float(np.log(share[f] / (1 - share[f])) - np.log(p / (1 - p)))
+        now = (t + PRIOR * prior) / (n + PRIOR)
+        odds = float(np.clip(np.log(now / max(1 - now, 1e-9)) - np.log(p / (1 - p)), -HIGH, HIGH))
+        if parent is None and odds < LOW:
+            continue
+        share[f], out[f] = now, odds
     return out
 
 
@@ -141,8 +143,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
     Without documents of both classes the score is the share of the label, or 0 without any.
     """
+    tuned(docs.sparkSession)
     sample = F.broadcast(labelled_sample(labels, "toxic", per_class))
-    rows, _ = written(docs.select(id_of().alias("doc_id"), text_of().alias("text")).join(sample, "doc_id").select("text", "y", (F.col("fold") % 2).alias("half")).repartition(8), "labelled")
+    rows, _ = written(docs.select(id_of().alias("doc_id"), text_of().alias("text")).join(sample, "doc_id").select("doc_id", "text", "y", (F.col("fold") % 2).alias("half")).repartition(8), "labelled")
+    rows = without_copies(rows)
     size = np.zeros((2, 2))
     for r in rows.groupBy("y", "half").count().collect():
         size[r["half"], r["y"]] = r["count"]
