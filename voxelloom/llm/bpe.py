@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import as_bytes, id_of, text_of, tuned
+from .common import CACHES, as_bytes, id_of, text_of, tuned
 
 #: Fixed value: the public pattern of this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -146,7 +146,7 @@ class Bpe:
         return ",".join(map(self.decimal.__getitem__, ids.tolist()))
 
 
-_open: dict[str, Bpe] = {}
+_open: dict[str, Bpe] = CACHES.setdefault("bpe", {})
 
 
 def vocabulary(path: str) -> Bpe:

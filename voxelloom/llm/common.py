@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -52,6 +55,21 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: What operators keep in a Python worker between tasks, by operator.
+CACHES: dict[str, dict] = {}
+
+
+def released(keep: str = "") -> None:
+    """Drops what other operators than keep have left in this Python worker, and gives the memory back to the system."""
+    for name, cache in CACHES.items():
+        if name != keep:
+            cache.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not the C library that has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def text_of(column: str = "text") -> Column:
     """A text column as a string, null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -77,6 +95,7 @@ def kept_rows(df: DataFrame, keep: Callable[[list[bytes]], np.ndarray]) -> DataF
     tuned(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         for b in batches:
             if b.num_rows:
                 yield b.filter(pa.array(keep(as_bytes(b))))

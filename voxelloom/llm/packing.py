@@ -12,17 +12,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, id_of, text_of, tuned, written
+from .common import CACHES, as_bytes, id_of, released, text_of, tuned, written
 
 #: Words whose ids a worker keeps; beyond it the store starts anew, which changes no result.
-KEPT = 1_200_000
+KEPT = 600_000
 WINDOW = 4096
 #: Lower-case letters (or any bytes beyond ASCII), then marks of ASCII alone.
 _PARTED = re.compile(rb"^([a-z\x80-\xff]+)([!-/:-@\[-`{-~]+)$")
 #: Closes each document.
 END = 2
 
-_open: dict = {}
+_open: dict = CACHES.setdefault("packing", {})
 
 
 class Words:
@@ -109,6 +109,7 @@ def tokenised(df: DataFrame, path: str, end: int = END) -> tuple[DataFrame, str]
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        released("packing")  # what earlier operators' tasks left in this worker
         words, part, total = vocabulary(path), TaskContext.get().partitionId(), 0
         for b in batches:
             last, width = np.array([end], dtype=words.kind).tobytes(), words.kind.itemsize

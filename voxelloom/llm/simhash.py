@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, by_size, id_of, text_of, tuned, written
+from .common import as_bytes, by_size, id_of, released, text_of, tuned, written
 from .components import connected, local_labels
 
 #: Pairs of fingerprints that a task compares at once.
@@ -48,6 +48,7 @@ def fingerprints(df: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
     tuned(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         for b in batches:
             texts = as_bytes(b)
             parts = [fingerprint_batch(texts[i:j], width, seed) for i, j in by_size(texts)] or [np.zeros(0, np.uint64)]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from .common import Rolling, as_bytes, by_size, mix, text_of, tuned, written
+from .common import Rolling, as_bytes, by_size, mix, released, text_of, tuned, written
 
 #: A repeat has this many bytes; the first digit is a string of GRAM bytes inside it.
 LENGTH, GRAM = 100, 32
@@ -237,6 +237,7 @@ def first_digit(rows: DataFrame, buckets: int, length: int, gram: int) -> DataFr
             for at in range(0, len(out), 64):
                 yield batch(out[at : at + 64])
 
+        released()
         n = 0
         for b in batches:
             keys, texts = b.column(0).to_numpy(), as_bytes(b)
@@ -355,6 +356,7 @@ def removals(df: DataFrame, length: int = LENGTH, gram: int = GRAM, extra: bool
         spans = spans.unionByName(more)
 
     def cut(t: pa.Table) -> pa.Table:
+        released()
         found = [unpack(d) for d, k in zip(t.column("data").to_pylist(), t.column("kind").to_pylist(), strict=True) if k == 1]
         gone: dict[int, list[tuple[int, int]]] = {}
         if found:

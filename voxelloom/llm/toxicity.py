@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, held_out, id_of, kept_rows, text_of, tuned, written
+from .common import as_bytes, held_out, id_of, kept_rows, released, text_of, tuned, written
 from .labels import PER_CLASS, labelled_sample, without_copies
 
 #: Lengths in bytes of the word beginnings that carry log-odds besides the whole word.
@@ -23,7 +23,9 @@ LEXICON, LEAST = 50_000, 3
 PRIOR, PER_DOCUMENT, LOW, HIGH = 3.0, 100, 1.0, 8.0
 FLAG = 0.5
 #: Words whose weight a worker keeps; beyond it the store starts anew, which changes no result.
-KEPT = 400_000
+KEPT = 200_000
+#: Features that a task counts before it passes them on.
+HELD = 150_000
 _CUT = bytes(b if chr(b).isalpha() or b >= 128 else 32 for b in range(256))
 
 
@@ -100,14 +102,23 @@ def lexicon(docs: DataFrame) -> list[tuple[bytes, np.ndarray]]:
     """Features with [harmless, toxic] documents of [either half] in which they occur: counted in tasks, then summed by feature."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         seen = [Counter() for _ in range(4)]
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            names = list(set().union(*seen))
+            for at in range(0, len(names), 20_000):
+                part = names[at : at + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), *[pa.array([c[f] for f in part], pa.int64()) for c in seen]], ["f", "c0", "t0", "c1", "t1"])
+            for c in seen:
+                c.clear()
+
         for b in batches:
             for text, y, half in zip(as_bytes(b), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 seen[2 * half + y].update({f for w in set(tokens(text)) for f in features(w)})
-        names = list(set().union(*seen))
-        for at in range(0, len(names), 20_000):
-            part = names[at : at + 20_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), *[pa.array([c[f] for f in part], pa.int64()) for c in seen]], ["f", "c0", "t0", "c1", "t1"])
+            if sum(map(len, seen)) > HELD:
+                yield from counted()
+        yield from counted()
 
     rows = docs.select("text", "y", "half").mapInArrow(count, "f binary, c0 long, t0 long, c1 long, t1 long").groupBy("f").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
     rows = rows.filter(F.col("t0") + F.col("t1") >= LEAST).orderBy(F.desc(F.col("t0") + F.col("t1")), "f").limit(LEXICON).collect()
