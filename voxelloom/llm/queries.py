@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embeddings, oph, packing, quality, simhash, suffixes, toxicity, warc
+from . import bpe, chat, embeddings, oph, oracle, packing, quality, simhash, suffixes, toxicity, warc
 
 
 def tokenizer(name: str) -> str:
@@ -65,4 +65,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
