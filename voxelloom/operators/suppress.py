@@ -29,7 +29,7 @@ def on_seam(start: Column, size: int, step: int, window: int) -> Column:
     """Whether the truncated coordinate lies in a band about an overlap of neighbouring windows."""
     band, at = window - step + 64, F.floor(start).cast("bigint") + 32  # coordinates are not below zero, so floor truncates
     if band <= step:
-        q = F.expr("1") * F.floor(at / step)
+        q = F.floor(at / step)
         return (q >= 1) & (q * step < size) & (F.pmod(at, F.lit(step)) < band)
     if size <= step:
         return F.lit(False)
