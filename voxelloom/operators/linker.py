@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.graph import components
+from ..storage import stored
 
 #: Edge of the grid cells that candidates are joined on.
 CELL = 64.0
@@ -79,10 +80,10 @@ def link(df: DataFrame, threshold: float, gap: int, min_layers: int) -> DataFram
     """The rows of df (with ord, class, z, box and score) that stand for tracks of min_layers boxes or more.
 
     Claims follow candidate pairs only, so each component of the candidate graph is linked by itself, in the order of ord.
-    A component's rows are what one task holds.
+    A component's rows are what one task holds. The pairs are made once and stored; df is read three times, so it is best a table.
     """
     boxes = df.select("ord", F.col("z").cast("long"), F.col("class").cast("long"), "x1", "y1", "x2", "y2", "score")
-    pairs = candidates(df, threshold, gap)
+    pairs = stored(candidates(df, threshold, gap), "pairs")
     touched = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     comp = components(touched, pairs).withColumnRenamed("id", "ord")
     names = ["ord", "z", "class", "x1", "y1", "x2", "y2", "score"]

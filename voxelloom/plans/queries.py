@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings, dim_class
 from ..operators import detector, linker, qc, raster, report, stitch, suppress
+from ..storage import stored
 from . import fixture as X
 from . import run as R
 
@@ -197,7 +198,7 @@ def link_candidates(s: SparkSession, d: str) -> DataFrame:
 
 
 def z_link(s: SparkSession, d: str) -> DataFrame:
-    return linker.link(_boxes(s, d), 0.4, 3, 2).select("det_id", "tile_no", "z", "class", "x1", "y1", "x2", "y2", "score")
+    return linker.link(stored(_boxes(s, d), "boxes"), 0.4, 3, 2).select("det_id", "tile_no", "z", "class", "x1", "y1", "x2", "y2", "score")
 
 
 def frame_drift(s: SparkSession, d: str) -> DataFrame:
