@@ -100,6 +100,19 @@ def test_anchors_cover_every_pair():
     assert all(homes[i] & at[i + 400] for i in range(400))
 
 
+def test_crowded_anchors_lose_no_link(spark):
+    rng = np.random.default_rng(4)
+    fps = np.concatenate((np.array([0, 5 << 40, 1 << 63], dtype=np.uint64), rng.integers(0, 1 << 6, 40, dtype=np.uint64) << np.uint64(33), rng.integers(0, 1 << 63, 40, dtype=np.uint64)))
+    for _ in range(3):
+        fps = np.concatenate((fps, fps ^ (np.uint64(1) << rng.integers(0, 64, len(fps), dtype=np.uint64))))
+    x = sorted(set(fps.view(np.int64).tolist()))
+    want = roots(len(x), [(a, b) for a in range(len(x)) for b in range(a) if ((x[a] ^ x[b]) & (1 << 64) - 1).bit_count() <= 3])
+    df = spark.createDataFrame([(f,) for f in x], "fp long")
+    for crowd in (0, 3, simhash.CROWD):
+        got = {r.node: r.component for r in components.connected(simhash.links(df, crowd=crowd)).collect()}
+        assert [got.get(f, f) for f in x] == [x[k] for k in want]
+
+
 def test_components(spark):
     links = [(random.randrange(60), random.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 160)]
     got = {r.node: r.component for r in components.connected(spark.createDataFrame([*links, (5, None)], "a long, b long")).collect()}

@@ -14,6 +14,8 @@ from .components import connected, local_labels
 
 #: Pairs of fingerprints that a task compares at once.
 PAIRS = 1 << 21
+#: Homes of an anchor beyond which its fingerprints are told apart by the bytes of their other half, too.
+CROWD = 4_096
 
 
 def fingerprint_batch(texts: list[bytes], width: int = 3, seed: int = 42) -> np.ndarray:
@@ -97,6 +99,30 @@ def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(keys).view(np.int64), np.concatenate(rows), np.concatenate(homes)
 
 
+def home_keys(fps: np.ndarray) -> np.ndarray:
+    """The keys of both homes of each fingerprint."""
+    out = []
+    for half in (0, 1):
+        w = (fps >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
+        low, top = w & np.uint64(0x7FFFFFFF), w & np.uint64(0x80000000)
+        out.append(low ^ _FLIP[syndrome(low)] | top | np.uint64(half << 32))
+    return np.concatenate(out).view(np.int64)
+
+
+def cells(placed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(cell, fp, home) of placed rows (anchor, fp, home): an anchor is one cell, but a crowded one is split, so that many tasks share it.
+
+    Two fingerprints of an anchor that link differ in at most three bits of their other half, so that one of its four bytes is
+    the same: a crowded anchor's rows go to the cells of those bytes, and no link is lost. crowded (anchor) is joined as
+    Spark finds its size.
+    """
+    other = F.when(F.col("anchor") < 1 << 32, F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp").bitwiseAND(F.lit((1 << 32) - 1)))
+    byte = lambda k: F.shiftright(other, 8 * k).bitwiseAND(F.lit(255)) + (k + 1) * 256
+    rows = placed.join(crowded.select("anchor", F.lit(True).alias("split")), "anchor", "left")
+    subs = F.when(F.col("split"), F.array(*[byte(k) for k in range(4)])).otherwise(F.array(F.lit(0).cast("long")))
+    return rows.select("anchor", "fp", "home", F.explode(subs).alias("sub")).select((F.col("anchor") * 2048 + F.col("sub")).alias("cell"), "fp", "home")
+
+
 def compare(key: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Links enough to join what an anchor's fingerprints link, at most one for each: rows sorted by key.
 
@@ -135,8 +161,11 @@ def compare(key: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int) -
     return (np.concatenate(links_a), np.concatenate(links_b)) if links_a else (none, none)
 
 
-def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
-    """(a, b) fingerprints whose links join all that are within threshold bits: a forest for each block, never all pairs."""
+def links(distinct: DataFrame, threshold: int = 3, crowd: int = CROWD) -> DataFrame:
+    """(a, b) fingerprints whose links join all that are within threshold bits: a forest for each block, never all pairs.
+
+    Anchors that are home to more than crowd fingerprints are split over cells.
+    """
     if threshold != 3:
         raise ValueError("the anchors are laid for 3 differing bits")
 
@@ -146,6 +175,10 @@ def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
             key, row, home = anchors(fps.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fps[row]), pa.array(home)], ["anchor", "fp", "home"])
 
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(home_keys(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))], ["anchor"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, fp, home = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
         waiting: list[tuple] = []
@@ -170,7 +203,9 @@ def links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
             yield from flush(True)
 
     placed = distinct.select("fp").mapInArrow(spread, "anchor long, fp long, home boolean")
-    return placed.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "a long, b long").distinct()
+    count = distinct.select("fp").mapInArrow(homes, "anchor long").groupBy("anchor").count()
+    crowded, _ = written(count.filter(F.col("count") > crowd).select("anchor"), "crowded")
+    return cells(placed, crowded).repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, threshold: int = 3) -> DataFrame:
