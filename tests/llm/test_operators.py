@@ -191,6 +191,8 @@ def test_suffixes(spark, docs):
         want.append((i, len(t), int(gone.sum()), int((np.diff(gone.astype(int)) == 1).sum()), sha(kept)))
     assert sorted(got, key=str) == sorted(want, key=str)
     assert suffixes.digests(spark.createDataFrame(rows, SCHEMA)).count() == len(rows)
+    some = sorted((r.doc_id or -1, sha(bytes(r.kept))) for r in suffixes.removals(docs, bucket_bytes=500).collect())  # more buckets than partitions
+    assert suffixes.bucket_count(docs, 500) > 8 and some == sorted((w[0] or -1, w[4]) for w in want)
     assert suffixes.deduplicated(docs).columns == docs.columns and suffixes.digests(docs.limit(0)).count() == 0
 
 

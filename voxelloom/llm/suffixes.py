@@ -17,6 +17,8 @@ from .common import Rolling, as_bytes, by_size, mix, released, text_of, tuned, w
 
 #: A repeat has this many bytes; the first digit is a string of GRAM bytes inside it.
 LENGTH, GRAM = 100, 32
+#: Bytes of text for each bucket: what a task holds of a bucket is a few times that, however large the input.
+BUCKET_BYTES = 128 << 20
 #: Digits that a task gathers before it deals them out, and windows that a bucket orders at once.
 GATHER, ORDER = 300_000, 1 << 21
 #: Bits of the first digit (besides its bucket) and of a context's hash that are sent.
@@ -336,7 +338,13 @@ def texts_of(t: pa.Table) -> list[tuple[int, int | None, bytes, bytes]]:
     return out
 
 
-def removals(df: DataFrame, length: int = LENGTH, gram: int = GRAM, extra: bool = False) -> DataFrame:
+def bucket_count(rows: DataFrame, bucket_bytes: int) -> int:
+    """Buckets for all texts of rows: as many as shuffle partitions, more where the texts ask for it."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+
+
+def removals(df: DataFrame, length: int = LENGTH, gram: int = GRAM, extra: bool = False, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, n_bytes, kept: the bytes that stay, spans: removed ranges, extra) of each document.
 
     A byte goes if a string of length bytes that covers it also starts earlier: in a document of smaller doc_id, or earlier
@@ -346,7 +354,7 @@ def removals(df: DataFrame, length: int = LENGTH, gram: int = GRAM, extra: bool
     or come back as one JSON string if extra is set.
     """
     tuned(df.sparkSession)
-    buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = bucket_count(df.select(text_of().alias("text")), bucket_bytes)
     rows = keyed(df, extra)
     texts = texts_by_bucket(rows, buckets)
     first, _ = written(first_digit(rows, buckets, length, gram), "first-digit", "none")
