@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelloom.llm import common, packing, quality, queries, simhash, suffixes, toxicity
+from voxelloom.llm import common, packing, quality, queries, shingles, suffixes, toxicity
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +19,10 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
-    kept = simhash.near_duplicates(docs).filter("doc_id is null or doc_id = component_id").select("doc_id").distinct()
+    """One document of each group of near copies (0.8 or more of their five-word shingles shared) stays: the one with the smallest doc_id."""
+    found, _ = common.written(shingles.near_duplicates(docs), "components")
+    least = found.groupBy("component").agg(F.min("doc_id").alias("least"))
+    kept = found.join(least, "component").filter("doc_id is null or doc_id = least").select("doc_id").distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 

@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from voxelloom.llm import bpe, chat, components, embeddings, oph, packing, quality, queries, simhash, suffixes, toxicity, warc
+from voxelloom.llm import bpe, chat, components, embeddings, oph, packing, quality, queries, shingles, simhash, suffixes, toxicity, warc
 
 random.seed(7)
 WORDS = ["alpha", "béta", "gamma", "délta", "x", "the", "of", "and", "zeta!", "eta,"]
@@ -263,3 +263,40 @@ def test_pipeline(spark, tmp_path):
         kept = stage(spark, kept, str(tmp_path)).cache()
         assert kept.columns == columns and 0 < kept.count() <= before
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
+
+
+def edited(words, n, tag):
+    """The words with n of them, far from each other, replaced: five shingles of five words differ for each."""
+    out = list(words)
+    for k in range(n):
+        out[10 + 20 * k] = f"{tag}{k}"
+    return " ".join(out)
+
+
+def near_texts():
+    rng = random.Random(11)
+    texts = []
+    for g in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+        texts += [" ".join(words), edited(words, 3, f"a{g}x"), edited(words, 4, f"b{g}x"), edited(words, 9, f"c{g}x")]
+    chain = texts[2].split()
+    return texts + [edited(chain[::-1][:200][::-1], 2, "d"), "Two words", "two  WORDS", "two other", "", None, " "]
+
+
+def test_near_copies_share_four_fifths_of_five_word_shingles(spark):
+    import corpus_pipeline
+
+    rows = [(i, t) for i, t in enumerate(near_texts())]
+
+    def cut(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    s = [cut(t) for _, t in rows]
+    share = lambda a, b: len(a & b) / len(a | b) if a | b else 1
+    label = roots(len(rows), [(a, b) for a in range(len(rows)) for b in range(a) if share(s[a], s[b]) >= 0.8])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component for r in shingles.near_duplicates(df).collect()}
+    assert all((got[a] == got[b]) == (label[a] == label[b]) for a in range(len(rows)) for b in range(a))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()) == sorted(set(label))
+    assert shingles.near_duplicates(df.limit(0)).count() == 0
