@@ -300,3 +300,18 @@ def test_near_copies_share_four_fifths_of_five_word_shingles(spark):
     assert all((got[a] == got[b]) == (label[a] == label[b]) for a in range(len(rows)) for b in range(a))
     assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()) == sorted(set(label))
     assert shingles.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_repeated_rows_keep_their_text(spark):
+    other = " ".join(f"p{k}" for k in range(80))
+    rows = [(5, other), (5, other), (5, other), (7, "x " + PASSAGE), (7, "x " + PASSAGE), (9, PASSAGE + " y"), (None, "n" + other[:150]), (None, "n" + other[:150])]
+    got = sorted(((r.doc_id or 0, r.n_bytes, bytes(r.kept)) for r in suffixes.removals(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()), key=str)
+    seen, want = set(), {}
+    for i, t in sorted(set(rows), key=lambda r: r[0] or 0):
+        data = t.encode()
+        gone = np.zeros(len(data), bool)
+        for k in range(len(data) - 99):
+            gone[k : k + 100] |= data[k : k + 100] in seen
+            seen.add(data[k : k + 100])
+        want[i] = (i or 0, len(data), bytes(b for b, g in zip(data, gone, strict=True) if not g))
+    assert got == sorted((want[i] for i, _ in rows), key=str) and want[7][2] == b"x " + PASSAGE.encode()

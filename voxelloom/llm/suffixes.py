@@ -91,10 +91,11 @@ def digits(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[
 
 
 def firsts(keys: np.ndarray, *order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rows that are the first of their key by order, the rest)."""
+    """(rows that are the first of their key by order, the rest): rows equal to the first in all of order are that one repeated, and in neither."""
     by = np.lexsort((*reversed(order), keys))
     lead = np.concatenate(([True], keys[by][1:] != keys[by][:-1])) if len(by) else np.zeros(0, bool)
-    return by[lead], by[~lead]
+    first, rest = by[lead][np.cumsum(lead)[~lead] - 1], by[~lead]
+    return by[lead], rest[np.any([o[rest] != o[first] for o in order], axis=0)]
 
 
 def radix(groups: np.ndarray, at: np.ndarray, data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
