@@ -315,3 +315,13 @@ def test_repeated_rows_keep_their_text(spark):
             seen.add(data[k : k + 100])
         want[i] = (i or 0, len(data), bytes(b for b, g in zip(data, gone, strict=True) if not g))
     assert got == sorted((want[i] for i, _ in rows), key=str) and want[7][2] == b"x " + PASSAGE.encode()
+
+
+def test_chat_reads_back_texts_that_end_in_backslashes(spark):
+    said = ["abc\\", "abc\\\\", "\\b", "\\\\</turn>\n", "\\", "\\</turn>", "\\### x\\", "plain"]
+    rows = [(c, t, r, x) for c, order in ((1, said), (2, said[::-1])) for t, (r, x) in enumerate(zip(["user", "user", "assistant", "as\\", "as\\\\", "\\:\n", "user", "user"], order, strict=True))]
+    got = {r.conv_id: r for r in chat.digests(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    for c in (1, 2):
+        turns = [(r, x) for i, _, r, x in rows if i == c]
+        assert (got[c].n_turns, got[c].turns_sha256) == (len(turns), sha("".join(f"{r}\n{x}\n" for r, x in turns)))
+        assert got[c].loss_sha256 == sha("".join(x for r, x in turns if r == "assistant"))

@@ -6,18 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The template: a head names the role of the turns below it; each turn's text is followed by CLOSE.
-#: "\" quotes the character after it, so that neither mark can occur in an escaped text.
+#: "\" quotes the character after it, so that neither mark can occur in an escaped text. A "\" of the text itself becomes "\b",
+#: so that no escaped text ends in "\": a mark behind one is the template's own.
 HEAD, CLOSE = "### ", "</turn>\n"
 
 
 def escaped(text: Column) -> Column:
-    text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    text = F.replace(text, F.lit("\\"), F.lit("\\b"))
     text = F.replace(text, F.lit("### "), F.lit("\\### "))
     return F.replace(text, F.lit("</turn>"), F.lit("\\</turn>"))
 
 
 def unescaped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    return F.replace(F.regexp_replace(text, r"\\([#<:])", "$1"), F.lit("\\b"), F.lit("\\"))
 
 
 def escaped_role(role: Column) -> Column:
