@@ -325,3 +325,22 @@ def test_chat_reads_back_texts_that_end_in_backslashes(spark):
         turns = [(r, x) for i, _, r, x in rows if i == c]
         assert (got[c].n_turns, got[c].turns_sha256) == (len(turns), sha("".join(f"{r}\n{x}\n" for r, x in turns)))
         assert got[c].loss_sha256 == sha("".join(x for r, x in turns if r == "assistant"))
+
+
+@pytest.mark.parametrize("inner", [4, 8, 64])
+def test_embeddings_of_fewer_dimensions_than_columns(spark, inner):
+    rng = np.random.default_rng(inner)
+    turn = np.linalg.qr(rng.normal(size=(64, inner)))[0].T
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(1500, inner)))
+    off = rng.normal(size=x.shape)
+    off = unit(off - (off * x).sum(1, keepdims=True) * x)
+    cosine = rng.uniform(0.9, 0.92, (1500, 1))
+    x = np.concatenate((x, cosine * x + np.sqrt(1 - cosine**2) * off)) @ turn
+    got = {r.vec_id: r for r in embeddings.near_duplicates(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect()}
+    near = unit(x) @ unit(x).T >= 0.9
+    np.fill_diagonal(near, False)
+    want, found = near.sum(1), np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= want + 1).all() and found.sum() >= 0.995 * want.sum()
+    label = components.local_labels(*np.nonzero(near), len(x))
+    assert np.mean([got[i].component_id == label[i] for i in range(len(x))]) >= 0.99

@@ -18,9 +18,12 @@ SAMPLE = 16_384
 #: Vectors of a list that one task holds; longer lists are dealt over several.
 LIST_ROWS = 4_096
 #: How far beyond a row's own cell a partner's cell is probed: this many standard deviations of a partner at the
-#: threshold in a random direction. A partner farther along the line between two centroids is missed, at most 0.35 %
-#: for each list at 2.7; every probe in reach of the radius itself would be exact, and nearly every list.
+#: threshold along the line between two centroids, as the sample spreads along such lines (see reach_of). A partner farther
+#: along is missed from that side, at most 0.35 % for each list at 2.7 if the spread is normal, and found from the other side
+#: unless missed there, too. A reach of the radius itself is exact.
 MARGIN = 2.7
+#: Lists around a list that its spread is measured to, and the share of lists and of the sample's own pairs that the reach covers.
+LINES, COVERED, PAIRS_COVERED = 16, 0.95, 0.999
 #: Pairs whose cosine a task computes at once.
 PAIRS = 1 << 17
 
@@ -98,11 +101,51 @@ def cells(x: np.ndarray, index: Index, reach: float) -> tuple[np.ndarray, np.nda
     return home, rows, lists
 
 
+def reach_of(sample: np.ndarray, index: Index, dim: int, radius: float, margin: float) -> float:
+    """The border distance to probe, from how the sample lies; radius at most.
+
+    A list's spread is the mean share of its residuals' squares that lies along the lines to the lists around it: 1 / dim if
+    every direction is alike, more for vectors of fewer dimensions in truth. Besides, the reach covers the border distances of
+    the pairs within radius that the sample itself holds.
+    """
+    lists = len(index.coarse)
+    if lists < 2 or len(sample) < 2:
+        return radius
+    home = np.concatenate([squared(sample[i : i + 256], index.coarse).argmin(1) for i in range(0, len(sample), 256)])
+    by = np.argsort(home, kind="stable")
+    shares = []
+    for own in np.split(by, np.flatnonzero(np.diff(home[by])) + 1):
+        c = index.coarse[home[own[0]]]
+        line = index.coarse - c
+        length = np.sqrt((line * line).sum(1))
+        near = np.argsort(length)[1 : LINES + 1]
+        near = near[length[near] > 1e-9]
+        r = sample[own] - c
+        r = r[(r * r).sum(1) > 1e-12]
+        if len(r) and len(near):
+            shares.append((((r @ (line[near] / length[near][:, None]).T) ** 2) / (r * r).sum(1)[:, None]).mean())
+    share = max(1 / max(1, dim), float(np.quantile(shares, COVERED)) if shares else 1.0)
+    seen = np.zeros(1001, np.int64)  # border distances of the sample's pairs, in thousandths of radius
+    for i in range(0, len(sample), 256):
+        x, own = sample[i : i + 256], home[i : i + 256]
+        a, b = np.nonzero(x @ sample.T >= 1 - radius * radius / 2)
+        pick = own[a] != home[b]
+        a, b = a[pick], home[b[pick]]
+        if len(a):
+            d = squared(x, index.coarse)
+            between = np.concatenate([np.sqrt(((index.coarse[own[a[k : k + PAIRS]]] - index.coarse[b[k : k + PAIRS]]) ** 2).sum(1)) for k in range(0, len(a), PAIRS)])
+            gap = (d[a, b] - d[a, own[a]]) / np.maximum(2 * between, 1e-12)
+            seen += np.bincount(np.clip(np.ceil(gap / radius * 1000), 0, 1000).astype(int), minlength=1001)
+    total = np.cumsum(seen)
+    pairs = int(np.searchsorted(total, PAIRS_COVERED * total[-1])) / 1000 if total[-1] else 0.0
+    return radius * min(1.0, max(margin * share**0.5, pairs))
+
+
 def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None, margin: float = MARGIN) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each vector: links are pairs with a cosine of least or more.
 
     Equal vectors become one row with a count before anything is compared. Each vector has one home list and visits
-    the lists whose border is within reach (see MARGIN); a link is counted from either side by itself. In a list, table
+    the lists whose border is within reach (see MARGIN); a link found from one side counts for both its ends. In a list, table
     look-ups give each pair's approximate distance; only pairs that this distance and the home vector's own
     quantisation error can't rule out are reranked by the exact cosine. Long lists are dealt over several
     tasks. A task returns counts and links enough to join its vectors, never all pairs.
@@ -124,9 +167,10 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
     distinct, _ = written(rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
     n = distinct.count()
     sample = distinct.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
-    index = fit(units(np.array(sample.column("v").to_pylist())), lists or int(min(16_384, max(1, 2 * n**0.5))))
+    fitted = units(np.array(sample.column("v").to_pylist()))
+    index = fit(fitted, lists or int(min(16_384, max(1, 2 * n**0.5))))
     radius = float(np.sqrt(2 - 2 * least))
-    reach = min(radius, margin * radius / max(1, common["n"]) ** 0.5)
+    reach = reach_of(fitted, index, common["n"], radius, margin)
     shared = spark.sparkContext.broadcast(index)  # lists x dim and parts x codes numbers: bounded whatever the input
 
     def packed(b: pa.RecordBatch) -> np.ndarray:
@@ -157,7 +201,7 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
             vectors = [raw[i].tobytes() for i in range(len(raw))]
             for at in range(0, len(row), 4096):
                 s = slice(at, at + 4096)
-                yield pa.RecordBatch.from_arrays([pa.array(cell[s].astype(np.int32)), pa.array(part[s].astype(np.int32)), pa.array(role[s]), pa.array(ids[row[s]]), pa.array(copies[row[s]]), pa.array([vectors[i] for i in row[s]], pa.binary())], ["list", "part", "role", "id", "copies", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(cell[s].astype(np.int32)), pa.array(part[s].astype(np.int32)), pa.array(role[s]), pa.array(ids[row[s]]), pa.array(copies[row[s]]), pa.array([vectors[i] for i in row[s]], pa.binary()), pa.array(home[row[s]].astype(np.int32))], ["list", "part", "role", "id", "copies", "v", "home"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, at, held, home = shared.value, None, [], None
@@ -172,22 +216,32 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
                 piece = b.slice(lo, hi - lo)
                 if (cell, part) != at:
                     at, held, home = (cell, part), [], None
-                x = (units(matrix(piece.column(5))), piece.column(3).to_numpy(), piece.column(4).to_numpy())
+                x = (units(matrix(piece.column(5))), piece.column(3).to_numpy(), piece.column(4).to_numpy(), piece.column(6).to_numpy())
                 if role == 0:
                     held.append(x)
                 elif held:
                     if home is None:
-                        hx, hid, hn = (np.concatenate(c) for c in zip(*held, strict=True))
+                        hx, hid, hn, _ = (np.concatenate(c) for c in zip(*held, strict=True))
                         home = hx, hid, hn, *index.residual_codes(hx, np.full(len(hx), cell))
                     yield links(index, cell, home, x)
                 lo = hi
 
+    def visits(index: Index, hx: np.ndarray, cell: int, h: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """Whether the vectors hx[h], which live in cell, visit the lists to: the rule of cells."""
+        out = np.zeros(len(h), bool)
+        own = index.coarse[cell]
+        for k in range(0, len(h), PAIRS // 4):
+            x, c = hx[h[k : k + PAIRS // 4]], index.coarse[to[k : k + PAIRS // 4]]
+            gap = (((x - c) ** 2).sum(1) - ((x - own) ** 2).sum(1)) / np.maximum(2 * np.sqrt(((c - own) ** 2).sum(1)), 1e-12)
+            out[k : k + PAIRS // 4] = (gap <= reach + 1e-6) | (to[k : k + PAIRS // 4] == cell)
+        return out
+
     def links(index: Index, cell: int, home: tuple, visit: tuple) -> pa.RecordBatch:
-        (hx, hid, hn, codes, error), (x, ids, _) = home, visit
+        (hx, hid, hn, codes, error), (x, ids, copies, lives) = home, visit
         kinds, a, b = [], [], []
         step = max(1, PAIRS // len(hx))
         q = x - index.coarse[cell]
-        total = np.zeros(len(x), np.int64)
+        total, back = np.zeros(len(x), np.int64), np.zeros(len(hx), np.int64)
         for s in range(0, len(x), step):
             part = q[s : s + step]
             near = np.zeros((len(part), len(hx)))
@@ -200,6 +254,8 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
             exact = np.concatenate([np.einsum("ij,ij->i", x[v[k : k + PAIRS // 4]], hx[h[k : k + PAIRS // 4]]) for k in range(0, len(v), PAIRS // 4)] or [np.zeros(0)])
             v, h = v[exact >= least], h[exact >= least]
             np.add.at(total, v, hn[h])
+            alone = ~visits(index, hx, cell, h, lives[v])  # the other side does not find the pair, so it is counted here for both
+            np.add.at(back, h[alone], copies[v[alone]])
             if len(v):
                 nodes, inverse = np.unique(np.concatenate((ids[v], hid[h])), return_inverse=True)
                 label = local_labels(inverse[: len(v)], inverse[len(v) :], len(nodes))
@@ -207,13 +263,14 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
                 kinds.append(np.ones(int(moved.sum()), np.int8))
                 a.append(nodes[moved])
                 b.append(nodes[label[moved]])
-        some = total > 0
-        kinds.append(np.zeros(int(some.sum()), np.int8))
-        a.append(ids[some])
-        b.append(total[some])
+        for who, count in ((ids, total), (hid, back)):
+            some = count > 0
+            kinds.append(np.zeros(int(some.sum()), np.int8))
+            a.append(who[some])
+            b.append(count[some])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(kinds)), pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["kind", "a", "b"])
 
-    placed = distinct.select("v", "id", "copies").mapInArrow(spread, "list int, part int, role byte, id long, copies long, v binary")
+    placed = distinct.select("v", "id", "copies").mapInArrow(spread, "list int, part int, role byte, id long, copies long, v binary, home int")
     found, _ = written(placed.repartition("list", "part").sortWithinPartitions("list", "part", "role").mapInArrow(compare, "kind byte, a long, b long"), "found")
     degree = found.filter("kind = 0").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others"))
     comp = connected(found.filter("kind = 1").select("a", "b"))
