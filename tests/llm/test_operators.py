@@ -344,3 +344,12 @@ def test_embeddings_of_fewer_dimensions_than_columns(spark, inner):
     assert (found <= want + 1).all() and found.sum() >= 0.995 * want.sum()
     label = components.local_labels(*np.nonzero(near), len(x))
     assert np.mean([got[i].component_id == label[i] for i in range(len(x))]) >= 0.99
+
+
+def test_lexicon_keeps_every_feature_that_tells(spark):
+    common = " ".join(f"{''.join(chr(97 + k // 26**j % 26) for j in range(3))}commonword" for k in range(12_000))
+    rows = [(common + (" vizlenik" if y and i < 16 else ""), y, i % 2) for y in (0, 1) for i in range(20)]
+    size = np.full((2, 2), 10.0)
+    counts = toxicity.lexicon(spark.createDataFrame(rows, "text string, y int, half int").repartition(4), size)
+    odds = toxicity.log_odds([(f, c.sum(0)) for f, c in counts], size.sum(0))
+    assert set(odds) == set(toxicity.features(b"vizlenik")) and len(counts) == len(odds)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, held_out, id_of, kept_rows, released, text_of, tuned, written
@@ -16,8 +16,8 @@ from .labels import PER_CLASS, labelled_sample, without_copies
 
 #: Lengths in bytes of the word beginnings that carry log-odds besides the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
-#: Features of the model at most, those of the most toxic documents first; and documents that one needs.
-LEXICON, LEAST = 50_000, 3
+#: Toxic documents that a feature needs.
+LEAST = 3
 #: Weight of the Dirichlet prior, in documents; features that a document is taken to add, whose logarithm the
 #: log-likelihood ratio of a feature must reach against chance; and the log-odds that it needs, and has at most.
 PRIOR, PER_DOCUMENT, LOW, HIGH = 3.0, 100, 1.0, 8.0
@@ -98,8 +98,20 @@ def segments(w: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, float(high - low)) for a, b, low, high, _ in held]
 
 
-def lexicon(docs: DataFrame) -> list[tuple[bytes, np.ndarray]]:
-    """Features with [harmless, toxic] documents of [either half] in which they occur: counted in tasks, then summed by feature."""
+def beats_chance(c: Column, t: Column, size: np.ndarray) -> Column:
+    """Whether log_odds may take a feature of c harmless and t toxic documents by itself: a little laxer than that, never stricter."""
+    p, evidence = float(size[1] / size.sum()), float(np.log(PER_DOCUMENT * size.sum()))
+    n = (c + t).cast("double")
+    part = lambda k, share: F.when(k > 0, k * F.log(k / (n * share))).otherwise(0.0)
+    return (t > 0) & (part(c, 1 - p) + part(t, p) >= evidence - 1e-6) & (t >= n * p - 1e-6)
+
+
+def lexicon(docs: DataFrame, size: np.ndarray) -> list[tuple[bytes, np.ndarray]]:
+    """Features with [harmless, toxic] documents of [either half] in which they occur: counted in tasks, then summed by feature.
+
+    All that log_odds can take are there: features that beat chance in all documents or in a half, and those that continue one.
+    They are bounded as the sample is. size holds the [harmless, toxic] documents of [either half].
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         released()
@@ -121,7 +133,15 @@ def lexicon(docs: DataFrame) -> list[tuple[bytes, np.ndarray]]:
         yield from counted()
 
     rows = docs.select("text", "y", "half").mapInArrow(count, "f binary, c0 long, t0 long, c1 long, t1 long").groupBy("f").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
-    rows = rows.filter(F.col("t0") + F.col("t1") >= LEAST).orderBy(F.desc(F.col("t0") + F.col("t1")), "f").limit(LEXICON).collect()
+    rows, _ = written(rows.filter(F.col("t0") + F.col("t1") >= LEAST), "features")
+    passes = beats_chance(F.col("c0") + F.col("c1"), F.col("t0") + F.col("t1"), size.sum(0))
+    for h in (0, 1):
+        if size[h].all():
+            passes |= beats_chance(F.col(f"c{h}"), F.col(f"t{h}"), size[h])
+    roots = rows.filter(passes).select(F.col("f").alias("root"))
+    starts = F.array_append(F.transform(F.filter(F.array(*map(F.lit, BEGINNINGS)), lambda k: k < F.length("f")), lambda k: F.substring(F.col("f"), F.lit(1), k)), F.col("f"))
+    kept = rows.select("f", F.explode(starts).alias("root")).join(roots, "root", "left_semi").select("f").distinct()
+    rows = rows.join(kept, "f", "left_semi").collect()
     return [(bytes(r["f"]), np.array([[r["c0"], r["t0"]], [r["c1"], r["t1"]]])) for r in rows]
 
 
@@ -165,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     if not size.sum(0).all():
         model.slope = (30.0 if size[:, 1].any() else -30.0, 0.0, 0.0)
         return model
-    counts = lexicon(rows)
+    counts = lexicon(rows, size)
     model.odds = log_odds([(f, c.sum(0)) for f, c in counts], size.sum(0))
     other = [Model(odds=log_odds([(f, c[1 - h]) for f, c in counts], size[1 - h]) if size[1 - h].all() else model.odds, other=0.0) for h in (0, 1)]
 
@@ -231,7 +251,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[float, f
 def passages(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """(doc_id, score, spans: every significant toxic passage as first token, token behind it, score) of each document."""
     tuned(df.sparkSession)
-    model = df.sparkSession.sparkContext.broadcast(fit(df, labels, per_class))  # LEXICON features at most
+    model = df.sparkSession.sparkContext.broadcast(fit(df, labels, per_class))  # features are bounded as the sample is
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
