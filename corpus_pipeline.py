@@ -19,11 +19,14 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (0.8 or more of their five-word shingles shared) stays: the one with the smallest doc_id."""
-    found, _ = common.written(shingles.near_duplicates(docs), "components")
-    least = found.groupBy("component").agg(F.min("doc_id").alias("least"))
-    kept = found.join(least, "component").filter("doc_id is null or doc_id = least").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """One row of each group of near copies (0.8 or more of their five-word shingles shared) stays: the one with the smallest doc_id.
+
+    Null ids come last; of rows of one id the smallest hash of the row stays, and of rows repeated whole any one.
+    """
+    numbered, _ = common.written(docs.withColumn("row_no", F.monotonically_increasing_id()), "numbered")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*docs.columns).alias("hash"), "row_no")
+    best = shingles.near_duplicates(numbered).groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.row_no").alias("row_no"))
+    return numbered.join(best, "row_no", "left_semi").select(*docs.columns)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -353,3 +353,12 @@ def test_lexicon_keeps_every_feature_that_tells(spark):
     counts = toxicity.lexicon(spark.createDataFrame(rows, "text string, y int, half int").repartition(4), size)
     odds = toxicity.log_odds([(f, c.sum(0)) for f, c in counts], size.sum(0))
     assert set(odds) == set(toxicity.features(b"vizlenik")) and len(counts) == len(odds)
+
+
+def test_near_copies_keep_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{k}{i}" for i in range(90)) for k in "xyz")
+    rows = [(None, a), (None, a), (4, a + " end"), (4, b), (4, b), (2, b + " end"), (None, c), (None, c), (None, None), (8, "")]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()]
+    assert sorted(got, key=str) == sorted([(4, a + " end"), (2, b + " end"), (None, c), (8, "")], key=str)
