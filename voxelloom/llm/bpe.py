@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import CACHES, as_bytes, id_of, text_of, tuned
+from .common import CACHES, as_bytes, by_size, id_of, text_of, tuned
 
 #: Fixed value: the public pattern of this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -167,7 +167,8 @@ def encode(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for b in batches:
-            ids = bpe.encode(b.column(1).to_pylist())
+            texts = as_bytes(b, b.schema.names[1])
+            ids = [i for lo, hi in by_size(texts) for i in bpe.encode([t.decode() for t in texts[lo:hi]])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([i.tolist() for i in ids], pa.list_(pa.int32())), pa.array([bpe.decode(i) for i in ids], pa.string())], ["key", "ids", "decoded"])
 
     kind = df.schema[key].dataType.simpleString()
@@ -185,11 +186,12 @@ def digests(df: DataFrame, path: str) -> DataFrame:
         bpe = vocabulary(path)
         for b in batches:
             counts, coded, decoded = [], [], []
-            texts = [t.decode() for t in as_bytes(b)]
-            for ids in bpe.encode(texts):
-                counts.append(len(ids))
-                coded.append(hashlib.sha256(bpe.written_ids(ids).encode()).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+            texts = as_bytes(b)
+            for lo, hi in by_size(texts):
+                for ids in bpe.encode([t.decode() for t in texts[lo:hi]]):
+                    counts.append(len(ids))
+                    coded.append(hashlib.sha256(bpe.written_ids(ids).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return df.select(id_of().alias("doc_id"), text_of().alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -12,23 +13,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHES, as_bytes, id_of, released, text_of, tuned, written
+from .bpe import byte_characters
+from .common import CACHES, as_bytes, by_size, id_of, released, text_of, tuned, written
 
-#: Words whose ids a worker keeps; beyond it the store starts anew, which changes no result.
-KEPT = 600_000
+#: Words whose ids a worker keeps in each of two generations, none of more than LONG bytes; it changes no result.
+KEPT, LONG = 150_000, 64
 WINDOW = 4096
-#: Lower-case letters (or any bytes beyond ASCII), then marks of ASCII alone.
-_PARTED = re.compile(rb"^([a-z\x80-\xff]+)([!-/:-@\[-`{-~]+)$")
+#: Words of ASCII marks, digits and letters and of the Latin-1 letters: composed already, and lower-cased byte by byte.
+_PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
+_MARKS = frozenset(b for b in range(33, 127) if not chr(b).isalnum())
+#: Fixed value: the vocabulary's own cut of a word, for such words. A marks' run may begin with an apostrophe that no ending follows.
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf\x9f])+|[0-9]|[!-/:-@\[-`{-~]+")
 #: Closes each document.
 END = 2
 
 _open: dict = CACHES.setdefault("packing", {})
 
 
-class Words:
-    """Ids by a tokenizers file that drops white space: each run without ASCII white space is encoded once.
+class Words(dict):
+    """Ids by a tokenizers file that drops white space: each run without ASCII white space is encoded once, as it is first met.
 
-    Ids are kept in two bytes each if the vocabulary lets them, else in four (kind).
+    Plain words are cut and lower-cased here and their pieces merged by rank; all others go through the tokenizers library
+    whole. Ids are kept in two bytes each if the vocabulary lets them, else in four (kind).
     """
 
     def __init__(self, path: str):
@@ -37,57 +44,66 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.between_id, token = next((i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and t.content.startswith("<|"))
-        self.between = token.content
+        self.old: dict[bytes, bytes] = {}
         size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.closes = np.zeros(size, dtype=bool)
-        self.closes[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
-        self.kept: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encodes new words, many in one call. Letters with marks behind them are two words to the tokenizer, encoded once each."""
-        parted = [(w, *m.groups()) for w in words if (m := _PARTED.match(w))]
-        whole = set(words).difference(w for w, _, _ in parted)
-        need = whole.union(*((c, t) for _, c, t in parted)).difference(self.kept) if parted else whole
-        letters, others, special = [], [], []
-        for w in need:
-            (special if b"<|" in w else letters if w.decode().lower().isalpha() else others).append(w)
-        for at in range(0, len(letters), 4096):
-            part = letters[at : at + 4096]
-            ids = self.ids(" ".join(w.decode() for w in part))
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(part):  # a word each, as letters are
-                self.keep(part, ids, np.append(0, ends[:-1]), ends)
-            else:
-                others += part
-        for at in range(0, len(others), 4096):  # a special token, which none of these holds, keeps them apart
-            part = others[at : at + 4096]
-            ids = self.ids(self.between.join(w.decode() for w in part))
-            cuts = np.flatnonzero(ids == self.between_id)
-            self.keep(part, ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))
-        for w in special:
-            self.kept[w] = self.ids(w.decode()).tobytes()
-        for w, core, tail in parted:
-            core_is_word = core.decode().lower().isalpha()
-            self.kept[w] = self.kept[core] + self.kept[tail] if core_is_word else self.ids(w.decode()).tobytes()
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
-
-    def keep(self, words: list[bytes], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        data, w = ids.tobytes(), self.kind.itemsize
-        self.kept.update(zip(words, map(data.__getitem__, map(slice, (w * starts).tolist(), (w * ends).tolist())), strict=True))
+        with open(path, encoding="utf-8") as f:
+            self.merge, self.packed = self.ranked(json.load(f)["model"])
+
+    def ranked(self, model: dict) -> tuple:
+        """(a function from a piece, closed by the byte 255, to ranks; each rank's id, packed).
+
+        A word's last byte and its closing mark are one symbol of the vocabulary. UTF-8 has no byte 255, so here it is that mark, and
+        the merges that fix it to a byte come first; the vocabulary's own merges follow in their order.
+        """
+        import tiktoken
+
+        vocab, close, byte = model["vocab"], model["end_of_word_suffix"], byte_characters()
+        shown = {b: c for c, b in byte.items()}
+        raw = lambda token: bytes(byte[c] for c in token.removesuffix(close)) + (b"\xff" if token.endswith(close) else b"")
+        ids = [vocab.get(shown[b], 0) for b in range(256)] + [vocab.get(shown[b] + close, 0) for b in range(255)]
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b, 255]): 256 + b for b in range(255)}
+        for pair in model["merges"]:
+            a, b = pair if isinstance(pair, list) else pair.split(" ")
+            ranks[raw(a) + raw(b)] = len(ids)
+            ids.append(vocab[a + b])
+        if len(ranks) != len(ids):
+            raise ValueError("two merges of the vocabulary make the same token")
+        core = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+        return core.encode_single_piece, [np.array([i], self.kind).tobytes() for i in ids]
+
+    def ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        out = self.old.get(word)
+        if out is not None:
+            self[word] = out
+            return out
+        if len(word) > LONG:
+            return self.ids(word.decode())
+        if word.isalpha():  # of ASCII alone, as bytes are
+            pieces = [word.lower()]
+        elif word[-1] in _MARKS and word[:-1].isalpha():
+            pieces = [word[:-1].lower(), word[-1:]]
+        elif _PLAIN.fullmatch(word) and b"<|" not in word:
+            pieces = _PIECES.findall(word.translate(_LOWER))
+        else:
+            out = self[word] = self.ids(word.decode())
+            return out
+        packed, merge = self.packed, self.merge
+        out = self[word] = b"".join([packed[r] for piece in pieces for r in merge(piece + b"\xff")])
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids, packed as kind says."""
-        # The vocabulary is lower case; strings of special tokens alone tell A-Z from a-z.
-        cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = list(set().union(*map(set, cut)).difference(self.kept))
-        self.learn(new)
-        out = [b"".join(map(self.kept.__getitem__, words)) for words in cut]
-        if len(self.kept) > KEPT:
-            self.kept.clear()
+        out = []
+        for t in texts:
+            # The vocabulary is lower case; strings of special tokens alone tell A-Z from a-z.
+            out.append(b"".join(map(self.__getitem__, (t if b"<|" in t else t.lower()).split())))
+            if len(self) > KEPT:  # words met again come back from the old generation
+                self.old = dict(self)
+                self.clear()
         return out
 
 
@@ -113,7 +129,8 @@ def tokenised(df: DataFrame, path: str, end: int = END) -> tuple[DataFrame, str]
         words, part, total = vocabulary(path), TaskContext.get().partitionId(), 0
         for b in batches:
             last, width = np.array([end], dtype=words.kind).tobytes(), words.kind.itemsize
-            ids = [i + last for i in words.encode(as_bytes(b))]
+            texts = as_bytes(b)
+            ids = [i + last for lo, hi in by_size(texts) for i in words.encode(texts[lo:hi])]
             n = np.array([len(i) // width for i in ids], dtype=np.int64)
             before = total + np.cumsum(n) - n
             total += int(n.sum())
@@ -159,7 +176,7 @@ def pack(df: DataFrame, path: str, window: int = WINDOW, end: int = END) -> Data
 
 
 def pieces(df: DataFrame, path: str) -> DataFrame:
-    """The packed pieces with a checksum in place of their ids."""
+    """The packed pieces with a checksum in place of their ids; nulls, repeats and empty tables as in pack."""
     return pack(df, path).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
