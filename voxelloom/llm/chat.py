@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: The template: a head names the role of the turns below it; each turn's text is followed by CLOSE.
 #: "\" quotes the character after it, so that neither mark can occur in an escaped text. A "\" of the text itself becomes "\b",
@@ -26,29 +27,34 @@ def escaped_role(role: Column) -> Column:
 
 
 def format_chat(df: DataFrame, trained: str = "assistant") -> DataFrame:
-    """One row per conv_id: formatted (the whole text) and segments (its parts in order, loss: trained on).
+    """One row per conv_id: formatted (the whole text) and mask (start and length, in its UTF-8 bytes, of each part that is trained on).
 
     Turns are sorted by turn (null first), then role and text, so repeated rows stay and order is fixed. Adjacent turns
     of one role share a head. Null roles and texts are empty. Null conv_ids form one conversation. The loss
     mask covers each text of the trained role, without its CLOSE. An empty table gives none. Other columns
     are ignored. A conversation must fit a row; its turns are what is gathered, and it is the result's unit.
     """
-    turns = df.select(F.col("conv_id"), F.struct(F.col("turn").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).alias("t"))
-    per = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    # where a run of one role starts
-    per = per.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("ts") - 1), lambda i: (i == 0) | (F.get("ts", i)["role"] != F.get("ts", i - 1)["role"])))
-    runs = F.transform("at", lambda a, k: F.slice(F.col("ts"), a + 1, F.coalesce(F.get("at", k + 1), F.size("ts")) - a))
-    per = per.withColumn("runs", runs)
-
-    def run_segments(run: Column) -> Column:
-        role = F.get(run, F.lit(0))["role"]
-        head = F.concat(F.lit(HEAD), escaped_role(role), F.lit(":\n"))
-        plain = lambda s: F.struct(s.alias("text"), F.lit(False).alias("loss"))
-        texts = F.flatten(F.transform(run, lambda t: F.array(F.struct(escaped(t["text"]).alias("text"), (t["role"] == trained).alias("loss")), plain(F.lit(CLOSE)))))
-        return F.concat(F.array(plain(head)), texts)
-
-    per = per.withColumn("segments", F.flatten(F.transform("runs", run_segments)))
-    return per.select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    turns = df.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    first = F.coalesce(F.lag("role").over(order) != F.col("role"), F.lit(True))
+    head = F.when(first, F.concat(F.lit(HEAD), escaped_role(F.col("role")), F.lit(":\n"))).otherwise(F.lit(""))
+    turns = turns.withColumns({"head": head, "body": escaped(F.col("text"))})
+    # where the body starts, and with it the order of the turns
+    end = F.sum(F.octet_length("head") + F.octet_length("body") + len(CLOSE)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    turns = turns.withColumn("start", end - len(CLOSE) - F.octet_length("body"))
+    item = F.struct("start", F.octet_length("body").cast("bigint").alias("length"), (F.col("role") == trained).alias("loss"), "head", "body")
+    per = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(item)).alias("ts"))
+    whole = F.array_join(F.transform("ts", lambda t: F.concat(t["head"], t["body"], F.lit(CLOSE))), "")
+    mask = F.transform(F.filter("ts", lambda t: t["loss"]), lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))
+    return per.select("conv_id", whole.alias("formatted"), mask.alias("mask"))
+
+
+def masked(formatted: Column, mask: Column) -> Column:
+    """The text of formatted under the mask, unescaped: its parts in order, with nothing between."""
+    data = formatted.cast("binary")
+    part = lambda m: F.substring(data, m["start"].cast("int") + 1, m["length"].cast("int"))
+    return F.array_join(F.transform(mask, lambda m: unescaped(part(m).cast("string"))), "")
 
 
 def parsed(formatted: Column) -> Column:
@@ -65,11 +71,13 @@ def parsed(formatted: Column) -> Column:
 
 
 def digests(df: DataFrame) -> DataFrame:
-    """What is read back from the formatted conversations: turns from the text, trained text from the mask."""
+    """What is read back from the formatted conversations: turns from the text, trained text from the text under the mask.
+
+    Nulls, repeated rows, ties, empty tables and other columns are as in format_chat.
+    """
     out = format_chat(df)
-    out = out.withColumn("turns", parsed(F.col("formatted")))
-    lost = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"])), "")
-    return out.withColumn("lost", lost).select(
+    out = out.withColumns({"turns": parsed(F.col("formatted")), "lost": masked(F.col("formatted"), F.col("mask"))})
+    return out.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
