@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, by_size, held_out
+from .common import as_bytes, by_size, held_out, id_of, text_of
 from .oph import sketch
 
 #: Labelled documents of each class that a classifier learns from at most: those with the smallest hashes of doc_id.
@@ -29,6 +29,17 @@ def labelled_sample(labels: DataFrame, label: str, per_class: int = PER_CLASS) -
     return each[0].unionAll(each[1]).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)).cast("int"))
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLASS) -> DataFrame:
+    """(doc_id, text, y, fold) of the labelled sample's documents, in eight parts by doc_id, so that a fit does not depend on how docs is split.
+
+    Of rows that repeat a doc_id the text with the smallest hash is the one learned from, which keeps the sample's size
+    bounded by per_class. Null texts are empty. Without labelled documents there are no rows. Other columns are ignored.
+    """
+    rows = docs.select(id_of().alias("doc_id"), text_of().alias("text")).join(F.broadcast(labelled_sample(labels, label, per_class)), "doc_id")
+    one = rows.groupBy("doc_id", "y", "fold").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("r"))
+    return one.select("doc_id", F.col("r.text").alias("text"), "y", "fold").repartition(8, "doc_id").sortWithinPartitions("doc_id")
+
+
 #: Bins of the sketches that tell copies inside a sample, and how many bins in a row must agree.
 COPY_BINS, COPY_BAND = 32, 4
 
@@ -37,6 +48,7 @@ def without_copies(sample: DataFrame) -> DataFrame:
     """The rows of a bounded sample (doc_id, text, ...) without near copies of one another: of each group the smallest doc_id stays.
 
     Copies would count one text's chance words as often as themselves. The driver gets 64 bytes for each of the sample's rows.
+    Texts without words are no copies of one another. An empty sample stays empty. doc_id is taken to be unique and not null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, held_out, id_of, kept_rows, text_of, tuned, written
-from .labels import PER_CLASS, labelled_sample
+from .common import as_bytes, held_out, id_of, kept_rows, remove, text_of, tuned, written
+from .labels import PER_CLASS, labelled_texts
 
 FEATURES, GAMMA, RIDGE, SEED = 256, 0.12, 1e-3, 42
 #: A document is accepted from this score on.
@@ -72,14 +72,15 @@ class Model:
 
 
 def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pooled adjacent violators: the mean raw score and the label share of each pool, shares smoothed by one row in two.
+    """Pooled adjacent violators: the mean raw score and the label share of each pool, shares smoothed by half a row.
 
-    Scores between the pools are interpolated, so the calibrated order never reverses the raw one.
+    Equal raw scores are one pool from the start, so the order of rows means nothing. Scores between the pools are
+    interpolated, so the calibrated order never reverses the raw one.
     """
-    order = np.argsort(raw, kind="stable")
+    level, at = np.unique(raw, return_inverse=True)
     pools: list[list[float]] = []  # rows, raw sum, label sum
-    for r, v in zip(raw[order], y[order], strict=True):
-        pools.append([1.0, float(r), float(v)])
+    for r, n, v in zip(level.tolist(), np.bincount(at).tolist(), np.bincount(at, y).tolist(), strict=True):
+        pools.append([float(n), n * r, v])
         while len(pools) > 1 and pools[-2][2] / pools[-2][0] >= pools[-1][2] / pools[-1][0]:
             last = pools.pop()
             pools[-1] = [p + q for p, q in zip(pools[-1], last, strict=True)]
@@ -103,13 +104,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([statistics(t) for t in as_bytes(b)], pa.list_(pa.float64())), *b.columns[1:]], ["x", "y", "fold"])
 
-    sample = docs.select(id_of().alias("doc_id"), text_of().alias("text")).join(F.broadcast(labelled_sample(labels, "quality", per_class)), "doc_id")
-    rows, _ = written(sample.select("text", "y", "fold").mapInArrow(describe, "x array<double>, y int, fold int").repartition(8), "labelled")
+    sample = labelled_texts(docs, labels, "quality", per_class).select("text", "y", "fold")
+    rows, path = written(sample.mapInArrow(describe, "x array<double>, y int, fold int"), "labelled")
     moments = rows.select(*[F.array(*[f(F.col("x")[i]) for i in range(STATISTICS)]).alias(n) for n, f in (("m", F.avg), ("s", F.stddev_pop))], F.avg("y").alias("share")).first()
     rng = np.random.default_rng(SEED)
     turn, shift = rng.normal(0, np.sqrt(2 * GAMMA), (STATISTICS, FEATURES)), rng.uniform(0, 2 * np.pi, FEATURES)
     share = 1.0 if moments["share"] is None else moments["share"]
     if share in (0.0, 1.0):
+        remove(rows.sparkSession, path)
         return Model(np.zeros(STATISTICS), np.ones(STATISTICS), turn, shift, np.zeros(FEATURES + 1), np.array([0.0]), np.array([share]))
     model = Model(np.array(moments["m"]), np.maximum(np.array(moments["s"]), 1e-6), turn, shift, np.zeros(FEATURES + 1), np.array([0.0]), np.array([0.0]))
 
@@ -131,6 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
         model.steps, model.values = isotonic(model.raw(x), y)
     else:
         model.steps, model.values = np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    remove(rows.sparkSession, path)
     return model
 
 
@@ -153,6 +156,10 @@ def scores(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Data
 
 
 def accepted(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """The rows of df that the classifier accepts, scored as scores does."""
+    """The rows of df that the classifier accepts, with all their columns, scored as scores does.
+
+    Null, empty and blank texts are judged by all-zero statistics; rows that repeat stay or go together. Without usable
+    labels every row stays. An empty table gives no rows. Other columns may have any name.
+    """
     model = df.sparkSession.sparkContext.broadcast(fit(df, labels, per_class))
     return kept_rows(df, lambda texts: model.value.of(texts) >= ACCEPT)
