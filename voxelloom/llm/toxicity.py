@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, held_out, id_of, kept_rows, released, text_of, tuned, written
-from .labels import PER_CLASS, labelled_sample, without_copies
+from .common import as_bytes, held_out, id_of, kept_rows, released, remove, text_of, tuned, written
+from .labels import PER_CLASS, labelled_texts, without_copies
 
 #: Lengths in bytes of the word beginnings that carry log-odds besides the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
@@ -133,7 +133,7 @@ def lexicon(docs: DataFrame, size: np.ndarray) -> list[tuple[bytes, np.ndarray]]
         yield from counted()
 
     rows = docs.select("text", "y", "half").mapInArrow(count, "f binary, c0 long, t0 long, c1 long, t1 long").groupBy("f").agg(*[F.sum(c).alias(c) for c in ("c0", "t0", "c1", "t1")])
-    rows, _ = written(rows.filter(F.col("t0") + F.col("t1") >= LEAST), "features")
+    rows, path = written(rows.filter(F.col("t0") + F.col("t1") >= LEAST), "features")
     passes = beats_chance(F.col("c0") + F.col("c1"), F.col("t0") + F.col("t1"), size.sum(0))
     for h in (0, 1):
         if size[h].all():
@@ -141,8 +141,9 @@ def lexicon(docs: DataFrame, size: np.ndarray) -> list[tuple[bytes, np.ndarray]]
     roots = rows.filter(passes).select(F.col("f").alias("root"))
     starts = F.array_append(F.transform(F.filter(F.array(*map(F.lit, BEGINNINGS)), lambda k: k < F.length("f")), lambda k: F.substring(F.col("f"), F.lit(1), k)), F.col("f"))
     kept = rows.select("f", F.explode(starts).alias("root")).join(roots, "root", "left_semi").select("f").distinct()
-    rows = rows.join(kept, "f", "left_semi").collect()
-    return [(bytes(r["f"]), np.array([[r["c0"], r["t0"]], [r["c1"], r["t1"]]])) for r in rows]
+    found = rows.join(kept, "f", "left_semi").collect()
+    remove(docs.sparkSession, path)
+    return [(bytes(r["f"]), np.array([[r["c0"], r["t0"]], [r["c1"], r["t1"]]])) for r in found]
 
 
 def log_odds(counts: list[tuple[bytes, np.ndarray]], size: np.ndarray) -> dict[bytes, float]:
@@ -175,8 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     Without documents of both classes the score is the share of the label, or 0 without any.
     """
     tuned(docs.sparkSession)
-    sample = F.broadcast(labelled_sample(labels, "toxic", per_class))
-    rows, _ = written(docs.select(id_of().alias("doc_id"), text_of().alias("text")).join(sample, "doc_id").select("doc_id", "text", "y", (F.col("fold") % 2).alias("half")).repartition(8), "labelled")
+    spark = docs.sparkSession
+    rows, path = written(labelled_texts(docs, labels, "toxic", per_class).select("doc_id", "text", "y", (F.col("fold") % 2).alias("half")), "labelled")
     rows = without_copies(rows)
     size = np.zeros((2, 2))
     for r in rows.groupBy("y", "half").count().collect():
@@ -184,6 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     model = Model()
     if not size.sum(0).all():
         model.slope = (30.0 if size[:, 1].any() else -30.0, 0.0, 0.0)
+        remove(spark, path)
         return model
     counts = lexicon(rows, size)
     model.odds = log_odds([(f, c.sum(0)) for f, c in counts], size.sum(0))
@@ -199,32 +201,68 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
                 out.append((y, len(w), at.astype("<i8").tobytes(), w[at].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["y", "n", "at", "w"])
 
-    told = [(r["y"], r["n"], np.frombuffer(r["at"], "<i8"), np.frombuffer(r["w"])) for r in rows.select("text", "y", "half").mapInArrow(measure, "y int, n long, at binary, w binary").collect()]  # bounded as the sample is
-    token_n = [max(1, sum(t[1] for t in told if t[0] == y)) for y in (0, 1)]
-    hits = [sum(int((t[3] > 0).sum()) for t in told if t[0] == y) for y in (0, 1)]
+    told, told_path = written(rows.select("text", "y", "half").mapInArrow(measure, "y int, n long, at binary, w binary"), "told")
+
+    def dense(n: int, at: bytes, w: bytes) -> np.ndarray:
+        out = np.full(n, model.other)
+        out[np.frombuffer(at, "<i8")] = np.frombuffer(w)
+        return out
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each weight of each label's tokens with how often it is there; null stands for all tokens."""
+        seen: Counter = Counter()
+        for b in batches:
+            for y, n, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                seen[y, None] += n
+                for v, k in zip(*(x.tolist() for x in np.unique(np.frombuffer(w), return_counts=True)), strict=True):
+                    seen[y, v] += k
+        columns = zip(*((y, v, k) for (y, v), k in seen.items()), strict=True) if seen else [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.float64(), pa.int64()), strict=True)], ["y", "w", "k"])
+
+    # as many rows as there are weights, which are at most twice the features
+    sums = {(r["y"], r["w"]): r["k"] for r in told.select("y", "n", "w").mapInArrow(summed, "y int, w double, k long").groupBy("y", "w").agg(F.sum("k").alias("k")).collect()}
+    token_n = [max(1, sums.get((y, None), 0)) for y in (0, 1)]
+    hits = [sum(k for (label, w), k in sums.items() if label == y and w is not None and w > 0) for y in (0, 1)]
     # a token without a feature is likelier in a harmless text by just what the others take up
     model.other = min(-1e-3, float(np.log((1 - min(0.5, hits[1] / token_n[1])) / (1 - min(0.5, hits[0] / token_n[0])))))
 
-    def dense(t: tuple) -> np.ndarray:
-        w = np.full(t[1], model.other)
-        w[t[2]] = t[3]
-        return w
-
-    found = [(t[0], t[1], segments(dense(t))) for t in told]
     # the law of good passages in harmless texts: lambda solves sum p exp(lambda w) = 1, K is how many start at a token
-    values, times = np.unique(np.concatenate([t[3] for t in told if t[0] == 0] or [np.zeros(0)]), return_counts=True)
-    excess = lambda lam: (times * np.exp(lam * values)).sum() + (token_n[0] - times.sum()) * np.exp(lam * model.other) - token_n[0]
-    low, high = 1e-3, 20.0
-    if len(values) and values.max() > 0 and excess(low) < 0:
-        for _ in range(60):
-            mid = (low + high) / 2
-            low, high = (mid, high) if excess(mid) < 0 else (low, mid)
-        model.rate = low
-    model.space = max(1.0, sum(len(f) for y, _, f in found if y == 0)) / token_n[0]
-    model.slope = logistic(np.log1p(np.array([model.evidence(f, n) for _, n, f in found])), np.array([t[0] for t in found]))
+    values, times = (np.array(x, float) for x in zip(*sorted((w, k) for (y, w), k in sums.items() if y == 0 and w is not None), strict=True)) if any(y == 0 and w is not None for y, w in sums) else (np.zeros(0), np.zeros(0))
+    model.rate = decay(np.append(values, model.other), np.append(times, token_n[0] - times.sum())) or model.rate
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(segments(dense(*x))) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)], pa.int64())], ["k"])
+
+    starts = told.filter("y = 0").select("n", "at", "w").mapInArrow(counted, "k long").agg(F.sum("k")).first()[0] or 0
+    model.space = max(1.0, float(starts)) / token_n[0]
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            y, *rest = (c.to_pylist() for c in b.columns)
+            found = [model.evidence(segments(dense(*x)), x[0]) for x in zip(*rest, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64())], ["y", "log_p", "total"])
+
+    # three numbers for each document of the sample, in an order of their own
+    seen = sorted(map(tuple, told.mapInArrow(weighed, "y int, log_p double, total double").collect()))
+    model.slope = logistic(np.log1p(np.array([r[1:] for r in seen])), np.array([r[0] for r in seen]))
+    for p in (path, told_path):
+        remove(spark, p)
     return model
 
 
+def decay(weights: np.ndarray, times: np.ndarray) -> float | None:
+    """lambda of the extreme-value law: the positive root of sum(times * exp(lambda * weights)) = sum(times); None without one."""
+    excess = lambda lam: (times * np.exp(lam * weights)).sum() - times.sum()
+    low, high = 1e-3, 20.0
+    if not len(weights) or weights.max() <= 0 or excess(low) >= 0:
+        return None
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if excess(mid) < 0 else (low, mid)
+    return low
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[float, float, float]:
     """Newton's method for a regularised logistic model with weights that may not be negative."""
     use = list(range(x.shape[1]))
@@ -249,7 +287,10 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[float, f
 
 
 def passages(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """(doc_id, score, spans: every significant toxic passage as first token, token behind it, score) of each document."""
+    """(doc_id, score, spans: every significant toxic passage as first token, token behind it, score) of each document.
+
+    Texts without words have no spans. Null ids, repeated rows, empty tables and other columns are as in scores.
+    """
     tuned(df.sparkSession)
     model = df.sparkSession.sparkContext.broadcast(fit(df, labels, per_class))  # features are bounded as the sample is
 
@@ -274,7 +315,11 @@ def scores(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Data
 
 
 def accepted(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """The rows of df that are not predicted toxic, scored as scores does."""
+    """The rows of df that are not predicted toxic, with all their columns, scored as scores does.
+
+    Null, empty and blank texts hold no passage and stay, unless every label is toxic; rows that repeat stay or go together. An
+    empty table gives no rows. Other columns may have any name.
+    """
     tuned(df.sparkSession)
     model = df.sparkSession.sparkContext.broadcast(fit(df, labels, per_class))
     return kept_rows(df, lambda texts: np.array([model.value.score(t)[0] < FLAG for t in texts], dtype=bool))
