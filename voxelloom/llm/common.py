@@ -28,12 +28,13 @@ def tuned(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share: spark.checkpoint.dir. In one process (local mode) a temporary one serves where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir() or folder
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="shared-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 
@@ -55,19 +56,28 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Fixed value: the C library's number for the size from which blocks are mapped one by one.
+_MMAP_THRESHOLD = -3
 #: What operators keep in a Python worker between tasks, by operator.
 CACHES: dict[str, dict] = {}
 
 
 def released(keep: str = "") -> None:
-    """Drops what other operators than keep have left in this Python worker, and gives the memory back to the system."""
+    """Drops what other operators than keep have left in this Python worker, and gives the memory back to the system.
+
+    From then on blocks of a megabyte or more, Arrow's too, are the system's own again as soon as they are freed: else a worker holds on
+    to the largest batch that it has seen.
+    """
     for name, cache in CACHES.items():
         if name != keep:
             cache.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
+    pa.set_memory_pool(pa.system_memory_pool())
     with contextlib.suppress(OSError, AttributeError):  # not the C library that has it
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(_MMAP_THRESHOLD, 1 << 20)
+        libc.malloc_trim(0)
 
 
 def text_of(column: str = "text") -> Column:
@@ -91,7 +101,7 @@ def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 
 
 def kept_rows(df: DataFrame, keep: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
-    """The rows of df whose whole text keep marks, in one pass without a shuffle and with every column."""
+    """The rows of df whose whole text keep marks, in one pass without a shuffle and with every column, whatever its name; null texts are empty."""
     tuned(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -332,6 +332,7 @@ def further_digits(texts: DataFrame, runs: DataFrame, buckets: int, length: int,
         return pa.Table.from_batches([batch(out)])
 
     def order(t: pa.Table) -> pa.Table:
+        released()
         parts = [unpack(d) for d in t.column("data").to_pylist()]
         key, start, windows, offset, digit, data = (np.concatenate(c) for c in zip(*parts, strict=True))
         windows, offset, start = windows.astype(np.int64), offset.astype(np.int64), start.astype(np.int64)
@@ -392,7 +393,9 @@ def bucket_count(rows: DataFrame, bucket_bytes: int) -> int:
 
 
 def removals(df: DataFrame, length: int = LENGTH, gram: int = GRAM, others: bool = False, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, kept: the bytes that stay, spans: removed ranges) of each document, and its other columns as c0, c1, ... if wanted.
+    """(doc_id, n_bytes, kept: the bytes that stay, spans: removed ranges) of each document.
+
+    With others, its other columns follow as c0, c1, ..., and kept is a text: bytes left of a cut character are dropped.
 
     A byte goes if a string of length bytes that covers it also starts earlier: in a document of smaller doc_id, or earlier
     in the same. Strings are judged on the input, may overlap, and never cross documents. Null texts are empty; texts
@@ -410,7 +413,7 @@ def removals(df: DataFrame, length: int = LENGTH, gram: int = GRAM, others: bool
         more, _ = written(further_digits(plain, runs, buckets, length, gram), "further-digits", "none")
         spans = spans.unionByName(more)
     rest = rows.schema.fields[3:]
-    schema = StructType([StructField("doc_id", LongType()), StructField("n_bytes", LongType()), StructField("kept", BinaryType()), StructField("spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))), *rest])
+    schema = StructType([StructField("doc_id", LongType()), StructField("n_bytes", LongType()), StructField("kept", StringType() if others else BinaryType()), StructField("spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))), *rest])
 
     def cut(t: pa.Table) -> pa.Table:
         released()
@@ -431,7 +434,9 @@ def removals(df: DataFrame, length: int = LENGTH, gram: int = GRAM, others: bool
             sizes.append(len(text))
             kept.append(b"".join([*parts, text[at:]]))
             spans.append([{"start": a, "end": e} for a, e in gone.get(key, ())])
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+        if others:
+            kept = [t.decode("utf-8", "ignore") for t in kept]
+        kinds = [pa.int64(), pa.int64(), pa.string() if others else pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
         out = pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip((ids, sizes, kept, spans), kinds, strict=True)], ["doc_id", "n_bytes", "kept", "spans"])
         if rest:
             more = pa.concat_tables(tables)  # spans come to texts alone, so there is one at least
@@ -447,17 +452,8 @@ def deduplicated(df: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Every other column comes back as it was, whatever its name and type. Null texts become empty; the rest is as in removals.
     """
-    others = [i for i, c in enumerate(df.columns) if c not in ("doc_id", "text")]
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = pa.array([t.decode("utf-8", "ignore") for t in b.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), texts, *b.columns[2:]], ["doc_id", "text", *b.schema.names[2:]])
-
-    out = removals(df, length, others=True).select("doc_id", "kept", *[f"c{i}" for i in others])
-    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), *out.schema.fields[2:]])
-    out = out.mapInArrow(whole, schema)
-    return out.select(*[F.col(c if c in ("doc_id", "text") else f"c{i}") for i, c in enumerate(df.columns)]).toDF(*df.columns)
+    out = removals(df, length, others=True).withColumnRenamed("kept", "text")
+    return out.select(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(df.columns)]).toDF(*df.columns)
 
 
 def digests(df: DataFrame) -> DataFrame:
