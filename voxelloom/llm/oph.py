@@ -49,12 +49,17 @@ def sketch(texts: list[bytes], bins: int = BINS, bits: int = BITS, width: int =
     value of the first full bin that it draws, every attempt being a draw of its own; where few bins are full, a
     table tells at once which of them that is.
     """
-    hashes, owner = word_shingles(texts, width)
+    low, n_full = minima(*word_shingles(texts, width), len(texts), bins)
+    return low_bits(low, n_full, bits)
+
+
+def minima(hashes: np.ndarray, owner: np.ndarray, count: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the smallest hash of each bin, empty bins filled; how many were full) for texts 0 to count - 1 from their shingles' hashes."""
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
-    low = np.full(len(texts) * bins, empty)
+    low = np.full(count * bins, empty)
     shift = np.uint64(64 - bins.bit_length() + 1)
     np.minimum.at(low, owner * bins + (hashes >> shift).astype(np.int64), mix(hashes) >> np.uint64(1))
-    low = low.reshape(len(texts), bins)
+    low = low.reshape(count, bins)
     full = low != empty
     n_full = full.sum(1)
     out = low.copy()
@@ -72,9 +77,14 @@ def sketch(texts: list[bytes], bins: int = BINS, bits: int = BITS, width: int =
     for i in left.tolist():
         have, need = np.flatnonzero(full[i]), np.flatnonzero(~full[i])
         out[i, need] = low[i, have[first[np.ix_(need, have)].argmin(1)]]
-    # the bin is mixed in, so that copies of one value in many bins do not agree by chance together
+    return out, n_full
+
+
+def low_bits(low: np.ndarray, n_full: np.ndarray, bits: int) -> np.ndarray:
+    """The minima's low-order bits; the bin is mixed in, so that copies of one value in many bins do not agree by chance together."""
+    bins = low.shape[1]
     salt = mix(np.arange(bins, dtype=np.uint64) + np.uint64(2 * bins))
-    out = (mix(out ^ salt) & np.uint64((1 << bits) - 1)).astype(np.int16)
+    out = (mix(low ^ salt) & np.uint64((1 << bits) - 1)).astype(np.int16)
     out[n_full == 0] = -1
     return out
 

@@ -38,10 +38,7 @@ def fingerprint_batch(texts: list[bytes], width: int = 3, seed: int = 42) -> np.
     out = np.zeros(len(texts), dtype=np.uint64)
     some = np.flatnonzero(sizes)
     if len(some):
-        bits = np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        first = np.concatenate(([0], np.cumsum(sizes[some])[:-1]))
-        ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
-        out[some] = np.packbits(2 * ones > sizes[some][:, None], axis=1).view(">u8").ravel()
+        out[some] = from_hashes(np.array(hashes, dtype=np.uint64), np.concatenate(([0], np.cumsum(sizes[some])[:-1])))
     return out
 
 
@@ -59,6 +56,13 @@ def fingerprints(df: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
     return df.select(id_of().alias("doc_id"), text_of().alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
+def from_hashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The fingerprint of each group of hashes; first holds where the groups begin, none of them empty."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > np.diff(np.append(first, len(hashes)))[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+
+
 _MASKS = [np.uint64(sum(1 << (p - 1) for p in range(1, 32) if p >> k & 1)) for k in range(5)]
 _FLIP = np.array([0] + [1 << (p - 1) for p in range(1, 32)], dtype=np.uint64)
 
