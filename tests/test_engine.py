@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxelloom import storage
 from voxelloom.config import Settings, dim_class, load_config
+from voxelloom.functions.graph import components
 from voxelloom.operators import detector, linker, qc, report, stitch, suppress
 from voxelloom.plans import oracle, queries, run
 from voxelloom.sources import tiles
@@ -59,19 +60,61 @@ def test_ownership_edges(spark):
     assert ids(stitch.owned(placed, 100)) == [2, 3]
 
 
-def brute_links(rows, threshold, gap, least):
-    return sorted(linker.link_rows(sorted(rows), threshold, gap, least))
-
-
-def test_linker_by_component_is_one_pass(spark):
-    random.seed(2)
+def overlap(a, b):
+    """The largest of IoU and either share, of boxes x1, y1, x2, y2."""
+    size = lambda r: max(0.0, r[2] - r[0]) * max(0.0, r[3] - r[1])
+    inter = max(0.0, min(a[2], b[2]) - max(a[0], b[0])) * max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
+    return max(inter / (size(a) + size(b) - inter + 1e-6), inter / (size(a) + 1e-6), inter / (size(b) + 1e-6))
+
+
+def tracks_of(rows, threshold, gap, least):
+    """det_ids that stand for tracks, by plain loops over all boxes; rows are det_id, tile, z, class, box, score."""
+    rows = sorted(rows, key=lambda r: (r[2], r[3] > 2, r[1], r[0]))
+    tracks, free = [], set(range(len(rows)))
+    for z in range(min(r[2] for r in rows), max(r[2] for r in rows) + 1):
+        layer = [i for i, r in enumerate(rows) if r[2] == z]
+        for t in tracks:
+            last = rows[t[-1]]
+            if z - last[2] > gap:
+                continue
+            best = None
+            for i in layer:
+                if i in free and rows[i][3] == last[3]:
+                    v = overlap(last[4:8], rows[i][4:8])
+                    if v > threshold and (best is None or v > best[0]):
+                        best = v, i
+            if best:
+                t.append(best[1])
+                free.discard(best[1])
+        for i in layer:
+            if i in free:
+                free.discard(i)
+                tracks.append([i])
+    out = []
+    for t in tracks:
+        if len(t) >= least:
+            top = max(rows[i][8] for i in t)
+            out.append(next(rows[i][0] for i in t if rows[i][8] == top))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [2, 3, 4])
+def test_linker_equals_plain_loops(spark, seed):
+    random.seed(seed)
     rows = []
     for i in range(300):
         x, y = random.randrange(0, 150), random.randrange(0, 150)
-        rows.append((i, random.randrange(1, 13), random.randrange(0, 3), float(x), float(y), x + 20.0, y + 20.0, random.randrange(50, 60) / 100))
-    df = spark.createDataFrame(rows, "ord long, z long, class long, x1 double, y1 double, x2 double, y2 double, score double")
+        rows.append((1000 - i, random.randrange(3), random.randrange(1, 13), random.randrange(0, 6), float(x), float(y), x + 20.0, y + 20.0, random.randrange(50, 60) / 100))
+    df = spark.createDataFrame(rows, "det_id long, tile_no long, z long, class long, x1 double, y1 double, x2 double, y2 double, score double")
     for least in (1, 2):
-        assert sorted(r.ord for r in linker.link(df, 0.4, 3, least).collect()) == brute_links(rows, 0.4, 3, least)
+        assert ids(linker.link(df, 0.3, 3, least)) == tracks_of(rows, 0.3, 3, least)
+
+
+def test_components_of_long_paths(spark):
+    n = 200
+    edges = [(i, i + 1) for i in range(n)] + [(500, 400), (450, 500), (600, 600)]
+    got = {r.id: r.component for r in components(spark.createDataFrame([(i,) for i in [*range(n + 1), 400, 450, 500, 600, 700]], "id long"), spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(n + 1)) and got[500] == got[450] == 400 and got[600] == 600 and got[700] == 700
 
 
 def test_linker_gap_and_single_layer():
@@ -136,13 +179,16 @@ def test_config_and_stages(spark, tmp_path):
     assert storage.settings_key(s) != storage.settings_key(Settings()) and "started" in storage.run_metadata(s)
 
 
-def test_run_resumes(spark, tmp_path):
+def test_run_resumes_for_the_same_inputs_alone(spark, tmp_path):
     from voxelloom.plans import fixture as X
 
     det, layout = X.detections(spark, DATA), X.layout(spark, DATA)
     first = run.run(spark, det, layout, queries.SETTINGS, X.SLICES, f"file://{tmp_path}").collect()
-    again = run.run(spark, det.limit(0), layout, queries.SETTINGS, X.SLICES, f"file://{tmp_path}").collect()
-    assert sorted(first) == sorted(again) and sum(r["count"] for r in first if r["group"] == "Class") > 0
+    made = {p.name for p in tmp_path.iterdir()}
+    again = run.run(spark, X.detections(spark, DATA), X.layout(spark, DATA), queries.SETTINGS, X.SLICES, f"file://{tmp_path}").collect()
+    assert sorted(first) == sorted(again) and sum(r["count"] for r in first if r["group"] == "Class") > 0 and {p.name for p in tmp_path.iterdir()} == made
+    fewer = run.run(spark, det.filter("z < 4"), layout, queries.SETTINGS, X.SLICES, f"file://{tmp_path}").collect()
+    assert sorted(fewer) != sorted(first) and len({p.name for p in tmp_path.iterdir()}) == 2 * len(made)
 
 
 def test_detector_shifts_boxes(spark):

@@ -9,25 +9,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 Boxes = list[tuple[float, float, float, float, float, int]]
-Detector = Callable[[np.ndarray], Boxes]
+#: Of a window, the least score and the overlap above which the model itself drops the weaker of two boxes.
+Detector = Callable[[np.ndarray, float, float], Boxes]
 
 
 def bright_blocks(level: int = 200, edge: int = 16) -> Detector:
     """A stand-in without weights: blocks of edge pixels whose mean is over level, class 0, score their mean / 255."""
 
-    def detect(image: np.ndarray) -> Boxes:
+    def detect(image: np.ndarray, conf: float = 0.0, iou: float = 1.0) -> Boxes:
         out: Boxes = []
         for y in range(0, image.shape[0] - edge + 1, edge):
             for x in range(0, image.shape[1] - edge + 1, edge):
                 m = float(image[y : y + edge, x : x + edge].mean())
-                if m > level:
+                if m > level and m / 255 >= conf:  # blocks never overlap, so iou drops none
                     out.append((float(x), float(y), float(x + edge), float(y + edge), m / 255, 0))
         return out
 
     return detect
 
 
-def detect(windows: DataFrame, load: Callable[[], Detector], conf_thresh: float = 0.4) -> DataFrame:
+def detect(windows: DataFrame, load: Callable[[], Detector], conf_thresh: float = 0.4, nms_iou: float = 0.45) -> DataFrame:
     """Boxes of windows (tile_no, z, wx, wy, height, width, data: 8-bit pixels), shifted by the window's origin.
 
     load runs once for each task, so a model's weights are read there and never shipped with rows.
@@ -38,7 +39,7 @@ def detect(windows: DataFrame, load: Callable[[], Detector], conf_thresh: float
         for b in batches:
             out = []
             for tile, z, wx, wy, h, w, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                for x1, y1, x2, y2, score, label in model(np.frombuffer(data, np.uint8).reshape(h, w)):
+                for x1, y1, x2, y2, score, label in model(np.frombuffer(data, np.uint8).reshape(h, w), conf_thresh, nms_iou):
                     if score >= conf_thresh:
                         out.append((tile, z, x1 + wx, y1 + wy, x2 + wx, y2 + wy, score, label))
             kinds = [pa.int64(), pa.int64(), *[pa.float64()] * 5, pa.int64()]

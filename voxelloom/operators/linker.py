@@ -24,10 +24,10 @@ def candidates(df: DataFrame, threshold: float, gap: int, cell: float = CELL) ->
     A box goes to every cell that it touches; the join is on class, cell and depth, so no side is ever broadcast against a range.
     """
     cells = lambda low, high: F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
-    spread = df.select("ord", "class", "z", F.struct("x1", "y1", "x2", "y2").alias("box"), F.explode(cells("x1", "x2")).alias("gx"), cells("y1", "y2").alias("gys"))
-    spread = spread.select("ord", "class", "z", "box", "gx", F.explode("gys").alias("gy"))
-    a = spread.select(F.col("ord").alias("a"), "class", "gx", "gy", F.col("box").alias("box_a"), F.explode(F.sequence(F.col("z") + 1, F.col("z") + gap)).alias("z"))
-    b = spread.select(F.col("ord").alias("b"), "class", "gx", "gy", "z", F.col("box").alias("box_b"))
+    spread = df.select("det_id", "class", "z", F.struct("x1", "y1", "x2", "y2").alias("box"), F.explode(cells("x1", "x2")).alias("gx"), cells("y1", "y2").alias("gys"))
+    spread = spread.select("det_id", "class", "z", "box", "gx", F.explode("gys").alias("gy"))
+    a = spread.select(F.col("det_id").alias("a"), "class", "gx", "gy", F.col("box").alias("box_a"), F.explode(F.sequence(F.col("z") + 1, F.col("z") + gap)).alias("z"))
+    b = spread.select(F.col("det_id").alias("b"), "class", "gx", "gy", "z", F.col("box").alias("box_b"))
     return a.join(b, ["class", "gx", "gy", "z"]).filter(G.link_overlap(F.col("box_a"), F.col("box_b")) > threshold).select("a", "b").distinct()
 
 
@@ -77,22 +77,24 @@ def link_rows(rows: Iterable[tuple], threshold: float, gap: int, min_layers: int
 
 
 def link(df: DataFrame, threshold: float, gap: int, min_layers: int) -> DataFrame:
-    """The rows of df (with ord, class, z, box and score) that stand for tracks of min_layers boxes or more.
+    """The rows of df that stand for tracks of min_layers boxes or more.
 
-    Claims follow candidate pairs only, so each component of the candidate graph is linked by itself, in the order of ord.
-    A component's rows are what one task holds. The pairs are made once and stored; df is read three times, so it is best a table.
+    df has det_id, which is unique, tile_no, class, z, the box and its score. Claims follow candidate pairs only, so each component
+    of the candidate graph is linked by itself, in the order of z, group (glia first), tile and det_id. A component's rows are
+    what one task holds. The pairs are made once and stored; df is read three times, so it is best a table.
     """
-    boxes = df.select("ord", F.col("z").cast("long"), F.col("class").cast("long"), "x1", "y1", "x2", "y2", "score")
+    names = ["det_id", "tile_no", "z", "class", "x1", "y1", "x2", "y2", "score"]
+    boxes = df.select("det_id", *[F.col(c).cast("long").alias(c) for c in names[1:4]], *names[4:])
     pairs = stored(candidates(df, threshold, gap), "pairs")
     touched = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    comp = components(touched, pairs).withColumnRenamed("id", "ord")
-    names = ["ord", "z", "class", "x1", "y1", "x2", "y2", "score"]
+    comp = components(touched, pairs).withColumnRenamed("id", "det_id")
 
     def run(t: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(t.column(n).to_pylist() for n in names), strict=True))
-        return pa.table({"ord": pa.array(link_rows(rows, threshold, gap, min_layers), pa.int64())})
+        rows = sorted(zip(*(t.column(n).to_pylist() for n in names), strict=True), key=lambda r: (r[2], r[3] >= 3, r[1], r[0]))
+        places = link_rows([(i, *r[2:]) for i, r in enumerate(rows)], threshold, gap, min_layers)
+        return pa.table({"det_id": pa.array([rows[i][0] for i in places], pa.int64())})
 
-    linked = boxes.join(comp, "ord").groupBy("component").applyInArrow(run, "ord long")
+    linked = boxes.join(comp, "det_id").groupBy("component").applyInArrow(run, "det_id long")
     if min_layers <= 1:
-        linked = linked.unionByName(boxes.join(touched.withColumnRenamed("id", "ord"), "ord", "left_anti").select("ord"))
-    return df.join(linked, "ord", "left_semi")
+        linked = linked.unionByName(boxes.join(touched.withColumnRenamed("id", "det_id"), "det_id", "left_anti").select("det_id"))
+    return df.join(linked, "det_id", "left_semi")

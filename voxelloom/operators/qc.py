@@ -43,11 +43,11 @@ def channel_logic(boxes: DataFrame, means: DataFrame, images: DataFrame, keys: l
     return b.groupBy(*keys).agg(F.count(F.lit(1)).alias("checks"), F.avg((~F.col("ok")).cast("double")).alias("logic_mismatch_rate"), F.coalesce(F.avg(F.when((color == 2) & F.col("ok"), F.col("s1") / (F.col("s2") + 1e-6))), F.lit(0.0)).alias("yellow_balance"))
 
 
-def tile_rollup(slices: DataFrame) -> DataFrame:
-    """A row a tile from its slices' metrics; NaN counts as missing, and a tile fails on drift or logic errors, unrounded."""
-    clean = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+def tile_rollup(slices: DataFrame, tile: str = "tile_no") -> DataFrame:
+    """A row a tile from its slices' metrics; a column that is not there counts 0, NaN counts as missing, and a tile fails on drift or logic errors, unrounded."""
+    clean = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) if c in slices.columns else F.lit(None).cast("double")
     mean = lambda c, name: F.coalesce(F.avg(clean(c)), F.lit(0.0)).alias(name)
-    out = slices.groupBy("tile_no").agg(
+    out = slices.groupBy(tile).agg(
         F.sum("detection_count").cast("bigint").alias("total_cells"), mean("c1_avg_conf", "avg_confidence"), mean("c1_sharpness", "avg_sharpness"),
         F.coalesce(F.max(clean("c1_drift")), F.lit(0.0)).alias("max_drift"), mean("logic_mismatch_rate", "avg_logic_error"), F.count(F.lit(1)).alias("total_layers"),
     )

@@ -36,11 +36,16 @@ def sliding_windows(sizes: DataFrame, xsize: int, ysize: int, step: int) -> Data
     return w.withColumns({"x_end": F.least(F.col("wx") + xsize, "_pw"), "y_end": F.least(F.col("wy") + ysize, "_ph")}).drop("_pw", "_ph")
 
 
-def not_blank(px: DataFrame, windows: DataFrame, keys: list[str], value: str, least: int = 10) -> DataFrame:
-    """Windows with a value of least or more: each pixel meets the few windows over it by image, then range."""
-    inside = (F.col("x") >= F.col("wx")) & (F.col("x") < F.col("x_end")) & (F.col("y") >= F.col("wy")) & (F.col("y") < F.col("y_end"))
-    bright = px.filter(F.col(value) >= least).select(*keys, "x", "y")
-    return windows.join(bright, keys).filter(inside).select(*windows.columns).distinct()
+def not_blank(px: DataFrame, windows: DataFrame, keys: list[str], value: str, xsize: int, ysize: int, step: int, least: int = 10) -> DataFrame:
+    """Windows with a value of least or more: each bright pixel names the few windows over it by arithmetic, and tasks merge theirs first."""
+
+    def over(n: str, size: int) -> Column:
+        first = F.greatest(F.lit(0), F.ceil((F.col(n) - size + 1) / step))
+        return F.transform(F.sequence(first.cast("bigint"), F.floor(F.col(n) / step).cast("bigint")), lambda k: k * step)
+
+    named = px.filter(F.col(value) >= least).select(*keys, F.explode(over("x", xsize)).alias("wx"), over("y", ysize).alias("wys")).distinct()
+    lit = named.select(*keys, "wx", F.explode("wys").alias("wy")).distinct()
+    return windows.join(lit, [*keys, "wx", "wy"], "left_semi")
 
 
 def laplacian_variance(px: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -8,7 +8,10 @@ from pyspark.sql.window import Window
 
 
 def statistics(df: DataFrame, classes: DataFrame) -> DataFrame:
-    """(group, category, count, percentage) by class, color and type; categories without rows count 0."""
+    """(group, category, count, percentage) by class, color and type; categories without rows count 0.
+
+    Rows of a class that classes lacks are in no category and not in the total; unknown gives them.
+    """
     domain = classes.select(F.explode(F.array(*[F.struct(F.lit(g).alias("group"), F.col(c).alias("category")) for g, c in (("Class", "name"), ("Color", "color"), ("Type", "type"))])).alias("d")).select("d.*").distinct()
     named = df.groupBy("class").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(classes), "class")
     sets = named.groupingSets([["name"], ["color"], ["type"]], "name", "color", "type").agg(F.sum("n").alias("n"), F.grouping("name").alias("gn"), F.grouping("color").alias("gc"))
@@ -18,31 +21,64 @@ def statistics(df: DataFrame, classes: DataFrame) -> DataFrame:
     return out.withColumn("percentage", F.coalesce(F.try_divide(F.col("count") * F.lit(100.0), total), F.lit(0.0)))
 
 
+def unknown(df: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows whose class the dimension lacks, which statistics leave out: a run writes them apart."""
+    return df.join(F.broadcast(classes.select("class")), "class", "left_anti")
+
+
 def per_class(df: DataFrame, classes: DataFrame) -> DataFrame:
-    """Centroids by class name in the order of z, with the rank that the order gives within the class."""
+    """Centroids with their class's name, C and the number where it has none; write_per_class puts each file in the order of z."""
     named = df.join(F.broadcast(classes.select("class", F.col("name").alias("class_name"))), "class", "left").withColumn("class_name", F.coalesce("class_name", F.concat(F.lit("C"), F.col("class"))))
-    return named.select("class_name", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), "z", "score", "tile_no", "det_id")
+    return named.select("class_name", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), "z", "score", "tile_no", "det_id", *[c for c in ("slice_name", "tile_name") if c in df.columns])
 
 
 def write_per_class(df: DataFrame, path: str) -> None:
     """A folder of CSV files for each class, each file in the order of z; a class may be split over tasks by depth."""
-    df.repartitionByRange("class_name", "z").sortWithinPartitions("class_name", "z", "det_id").write.partitionBy("class_name").option("header", True).csv(path)
+    df.repartitionByRange("class_name", "z").sortWithinPartitions("class_name", "z", "det_id").write.mode("overwrite").partitionBy("class_name").option("header", True).csv(path)
+
+
+def write_boxes(df: DataFrame, path: str) -> None:
+    """Linked boxes in global coordinates with the tile and slice that each came from."""
+    df.select("x1", "y1", "x2", "y2", "score", "mean", "class", "z", "tile_name", "slice_name").write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_statistics(df: DataFrame, path: str) -> None:
+    """The statistics' eleven rows, percentages to two places."""
+    rows = df.select(F.col("group").alias("Group"), F.col("category").alias("Category"), F.col("count").alias("Count"), F.round("percentage", 2).alias("Percentage(%)"))
+    rows.coalesce(1).sortWithinPartitions("Group", "Category").write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_quality(df: DataFrame, path: str) -> None:
+    """A folder of quality tables for each tile, a row a slice in the order of z; what a slice lacks is empty."""
+    order = ["tile_name", "z", "detection_count", *sorted(c for c in df.columns if c not in ("tile_name", "z", "detection_count"))]
+    df.select(order).repartition("tile_name").sortWithinPartitions("tile_name", "z").write.mode("overwrite").partitionBy("tile_name").option("header", True).csv(path)
+
+
+def project_summary(tiles: DataFrame) -> DataFrame:
+    """A tile roll-up under its file's names, rounded; the status is judged before."""
+    rounded = (("avg_confidence", "Avg_Confidence", 3), ("avg_sharpness", "Avg_Sharpness", 2), ("max_drift", "Max_Drift_px", 2), ("avg_logic_error", "Avg_Logic_Error", 4))
+    return tiles.select(F.col("tile_name").alias("Tile_Name"), F.col("total_cells").alias("Total_Cells"), *[F.round(c, n).alias(name) for c, name, n in rounded], F.col("total_layers").alias("Total_Layers"), F.col("qc_status").alias("QC_Status"))
+
+
+def write_summary(tiles: DataFrame, path: str) -> None:
+    """The project's summary, a row a tile in the order of names."""
+    project_summary(tiles).orderBy("Tile_Name").write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_centroids(df: DataFrame, path: str) -> None:
-    df.select(((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"), "z", "score", "class", "mean").write.option("header", True).csv(path)
+    df.select(((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"), "z", "score", "class", "mean").write.mode("overwrite").option("header", True).csv(path)
 
 
 def nearest(left: DataFrame, right: DataFrame, reach: float, cell: float) -> DataFrame:
     """(left_id, right_id, d2): the nearest right point within reach in (x, y, 10 z), ties to the smaller id; null without one.
 
-    Points meet in grid cells: a left point looks into the cells about its own that reach can touch.
+    Points meet in grid cells: a left point looks into the cells that its reach touches, two an axis at most if a cell is
+    twice the reach or more. Where left's rows come from right's, their sources are better carried along than searched.
     """
-    k = int(-(-reach // cell))
     at = lambda c: F.floor(F.col(c) / cell)
-    near = lambda c, n: F.explode(F.sequence(F.col(c) - k, F.col(c) + k)).alias(n)
-    a = left.select("id", "x", "y", (F.col("z") * 10).alias("w")).withColumns({"_x": at("x"), "_y": at("y"), "_z": F.floor(F.col("w") / cell)})
-    a = a.select("id", "x", "y", "w", "_y", "_z", near("_x", "gx")).select("id", "x", "y", "w", "gx", "_z", near("_y", "gy")).select("id", "x", "y", "w", "gx", "gy", near("_z", "gz"))
+    near = lambda c, n: F.explode(F.sequence(F.floor((F.col(c) - reach) / cell), F.floor((F.col(c) + reach) / cell))).alias(n)
+    a = left.select("id", "x", "y", (F.col("z") * 10).alias("w"))
+    a = a.select("id", "x", "y", "w", near("x", "gx")).select("id", "x", "y", "w", "gx", near("y", "gy")).select("id", "x", "y", "w", "gx", "gy", near("w", "gz"))
     b = right.select(F.col("id").alias("right_id"), F.col("x").alias("bx"), F.col("y").alias("by"), (F.col("z") * 10).alias("bw"))
     b = b.withColumns({"gx": at("bx"), "gy": at("by"), "gz": F.floor(F.col("bw") / cell)})
     sq: Column = (F.col("x") - F.col("bx")) ** 2 + (F.col("y") - F.col("by")) ** 2 + (F.col("w") - F.col("bw")) ** 2
@@ -50,15 +86,19 @@ def nearest(left: DataFrame, right: DataFrame, reach: float, cell: float) -> Dat
     return left.select(F.col("id").alias("left_id")).join(best, "left_id", "left").select("left_id", "m.right_id", "m.d2")
 
 
-def grid_from_names(names: DataFrame) -> DataFrame:
-    """(name, row, col) from names in the order of pos: keys are the first and the last six characters, numbered as they first appear."""
+def grid_from_names(names: DataFrame, left_to_right: bool = True, top_to_bottom: bool = True) -> DataFrame:
+    """(name, row, col) from names in the order of pos: keys are the first and the last six characters, numbered as they first appear.
+
+    Columns from right to left, or rows from the bottom up, are numbered by their keys from the last to the first.
+    """
     keys = names.withColumns({"row_key": F.substring("name", 1, 6), "col_key": F.expr("right(name, 6)")})
 
-    def numbered(key: str, out: str) -> DataFrame:
+    def numbered(key: str, out: str, as_met: bool) -> DataFrame:
         first = keys.groupBy(key).agg(F.min("pos").alias("at"))
-        return first.withColumn(out, F.row_number().over(Window.partitionBy().orderBy("at")) - 1).drop("at")  # a row a grid line
+        order = F.col("at").asc() if as_met else F.col(key).desc()
+        return first.withColumn(out, F.row_number().over(Window.partitionBy().orderBy(order)) - 1).drop("at")  # a row a grid line
 
-    return keys.join(numbered("row_key", "row"), "row_key").join(numbered("col_key", "col"), "col_key").select("name", "row", "col")
+    return keys.join(numbered("row_key", "row", top_to_bottom), "row_key").join(numbered("col_key", "col", left_to_right), "col_key").select("name", "row", "col")
 
 
 def dashes(df: DataFrame, length: int = 8) -> DataFrame:

@@ -6,9 +6,15 @@ is one two-channel image of 40 x 40 pixels.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.images import IMAGES
+
 TILE, SLICES, EDGE = 512, 12, 40
 
 DETECTIONS = """select o*8+n as det_id, cast(floor(o/320) as bigint) as tile_no, s%12+1 as z, p%6 as class,
@@ -42,6 +48,22 @@ def pixels(spark: SparkSession, folder: str) -> DataFrame:
     return px.selectExpr("cast(floor(s/12) as bigint) as tile_no", "s%12+1 as z", "y", "x", "(s*977+y*y*31+x*x*17+x*y*13)%4001 as c1", "(s*577+y*y*19+x*x*29+x*y*7)%3001 as c2")
 
 
+def slices(spark: SparkSession, folder: str) -> DataFrame:
+    """The same images as one row each, tiles by name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y, x = np.mgrid[:EDGE, :EDGE]
+        for b in batches:
+            rows = []
+            for s in b.column(0).to_pylist():
+                c1, c2 = (s * 977 + y * y * 31 + x * x * 17 + x * y * 13) % 4001, (s * 577 + y * y * 19 + x * x * 29 + x * y * 7) % 3001
+                rows.append((str(s // 12), str(s), s % 12 + 1, EDGE, EDGE, 16, c1.astype("<u2").tobytes(), c2.astype("<u2").tobytes()))
+            kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 8, kinds, strict=True)], ["tile_name", "stem", "z", "height", "width", "bits", "c1", "c2"])
+
+    return table(spark, folder, "supplier").select(F.col("s_suppkey").cast("bigint")).mapInArrow(run, IMAGES)
+
+
 def images(px: DataFrame) -> DataFrame:
     return px.groupBy("tile_no", "z").agg((F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width"))
 

@@ -49,6 +49,7 @@ HITS = f"{DET}, {BOX}, {SPOTS}, hits as (select * from spots p where exists (sel
 CUT = "select det_id, tile_no, z, class, " + ", ".join(f"least(greatest(cast(trunc({c}) as bigint), 0), {X.EDGE}) as {c}" for c in ("x1", "y1", "x2", "y2"))
 CONF = "count(*) as detection_count, avg(score) as avg_conf, median(score) as median_conf, avg(case when score<0.6e0 then 1e0 else 0e0 end) as low_conf_ratio"
 WINDOWS = "win as (select tile_no, z, wx, wy, least(wx+16, 40) as x_end, least(wy+16, 40) as y_end from (select distinct tile_no, z from px) i cross join (select unnest([0,12,24,36]) as wx) a cross join (select unnest([0,12,24,36]) as wy) b)"
+STRETCHED = "lim as (select tile_no, z, " + ", ".join(f"quantile_cont({c}, 0.1e0/100) as lo{c}, quantile_cont({c}, 99.9e0/100) as hi{c}, max({c}) as most{c}" for c in ("c1", "c2")) + " from px where y%10=0 and x%10=0 group by all), st as (select p.tile_no, p.z, y, x, " + ", ".join(f"case when most{c}=0 or hi{c}<=lo{c} then 0 else cast(floor((least(greatest(cast({c} as double), lo{c}), hi{c})-lo{c})/(hi{c}-lo{c})*255e0) as integer) end as s{c[1]}" for c in ("c1", "c2")) + " from px p join lim l on p.tile_no=l.tile_no and p.z=l.z)"
 LAPLACE = "select tile_no, z, round(var_pop(coalesce(u,d)+coalesce(d,u)+coalesce(l,r)+coalesce(r,l)-4*c1), 3) as sharpness from (select *, lag(c1) over v as u, lead(c1) over v as d, lag(c1) over h as l, lead(c1) over h as r from px window v as (partition by tile_no, z, x order by y), h as (partition by tile_no, z, y order by x)) q group by all"
 NAMES = "concat('r', lpad(cast((tile_no*7)%5 as varchar), 5, '0'), '_c', lpad(cast((tile_no*3)%8 as varchar), 5, '0'))"
 GA = inter("a", "b", 0)
@@ -97,8 +98,12 @@ def oracle_sql() -> dict[str, str]:
         "channel_compose": f"with {PX} select tile_no, z, y, x, c1, case when c2>500 then c2 else 0 end as c2 from px",
         "box_mean": f"with {DET}, {BOX}, {PX}, cut as ({CUT} from box) select c.det_id, round(coalesce(sum(p.c1+p.c2)*1e0/(3*count(p.c1)), 0e0)+1e-9,6) as mean from cut c left join px p on p.tile_no=c.tile_no and p.z=c.z and p.x>=c.x1 and p.x<c.x2 and p.y>=c.y1 and p.y<c.y2 group by c.det_id",
         "channel_logic": f"with {LOGIC} select tile_no, z, count(*) as checks, round(avg(case when ok then 0e0 else 1e0 end)+1e-9,6) as logic_mismatch_rate, round(coalesce(avg(case when color=2 and ok then s1/(s2+1e-6) end), 0e0)+1e-9,6) as yellow_balance from ok group by all",
-        "tile_qc_rollup": f"with {DET}, c as (select tile_no, z, {CONF} from det group by all), t as (select tile_no, cast(sum(detection_count) as bigint) as total_cells, avg(avg_conf) as a, avg(detection_count*1.5e0) as b, coalesce(max(case when avg_conf<=0.7e0 then avg_conf*16 end), 0e0) as m, avg(low_conf_ratio/2) as e, count(*) as total_layers from c group by tile_no) select tile_no, total_cells, round(a+1e-9,6) as avg_confidence, round(b+1e-9,6) as avg_sharpness, round(m+1e-9,6) as max_drift, round(e+1e-9,6) as avg_logic_error, total_layers, case when m>10 or e>0.15e0 then 'FAIL' else 'PASS' end as qc_status from t",
+        "tile_qc_rollup": f"with {LOGIC}, c as (select tile_no, z, {CONF} from det group by all), sh as ({LAPLACE.replace('round(', '(').replace(', 3) as', ') as')}), lg as (select tile_no, z, round(avg(case when ok then 0e0 else 1e0 end)+1e-9,6) as e from ok group by all), t as (select c.tile_no, cast(sum(detection_count) as bigint) as total_cells, avg(avg_conf) as a, avg(sharpness) as b, avg(e) as e, count(*) as total_layers from c join sh on c.tile_no=sh.tile_no and c.z=sh.z join lg on c.tile_no=lg.tile_no and c.z=lg.z group by c.tile_no) select tile_no, total_cells, round(a+1e-9,6) as avg_confidence, round(b,3) as avg_sharpness, round(1e-9,6) as max_drift, round(e+1e-9,6) as avg_logic_error, total_layers, case when e>0.15e0 then 'FAIL' else 'PASS' end as qc_status from t",
+        "slice_metrics": f"with {DET}, {BOX}, {PX}, " + ", ".join(f"q{c} as (select * replace ({c} as c1) from px), m{c} as ({MAXIMA.split(' as (', 1)[1][:-1].replace('from px', f'from q{c}')}), l{c} as (select tile_no, z, greatest(quantile_cont(c1, 0.98e0), 100e0) as level, round(avg(c1)+1e-9,6) as mean_intensity from q{c} group by all), s{c} as ({LAPLACE.replace('from px', f'from q{c}')}), n{c} as (select l.tile_no, l.z, l.mean_intensity, round(count(m.c1)+1e-9,6) as spots, sharpness from l{c} l join s{c} s on l.tile_no=s.tile_no and l.z=s.z left join m{c} m on m.tile_no=l.tile_no and m.z=l.z and m.c1>level group by all)" for c in ("c1", "c2")) + ", d as (select tile_no, z, count(*) as n from box group by all) select a.tile_no, a.z, coalesce(d.n, 0) as detection_count, a.mean_intensity as c1_mean_intensity, a.spots as c1_cv_bright_spots, a.sharpness as c1_sharpness, b.mean_intensity as c2_mean_intensity, b.spots as c2_cv_bright_spots, b.sharpness as c2_sharpness from nc1 a join nc2 b on a.tile_no=b.tile_no and a.z=b.z left join d on a.tile_no=d.tile_no and a.z=d.z",
+        "measured_means": f"with {DET}, {BOX}, {PX}, cut as ({CUT} from box) select c.det_id, round(coalesce(sum(p.c1+p.c2)*1e0/(3*count(p.c1)), 0e0)+1e-9,6) as mean from cut c join (select distinct tile_no, z from px) i on i.tile_no=c.tile_no and i.z=c.z left join px p on p.tile_no=c.tile_no and p.z=c.z and p.x>=c.x1 and p.x<c.x2 and p.y>=c.y1 and p.y<c.y2 group by c.det_id",
+        "detect_windows": f"with {PX}, {WINDOWS}, {STRETCHED}, blocks as (select w.tile_no, w.z, wx, wy, (x-wx)//4 as bx, (y-wy)//4 as b_y, sum(s1+s2)/48e0 as m from win w join st p on p.tile_no=w.tile_no and p.z=w.z and x>=wx and x<x_end and y>=wy and y<y_end group by all having count(*)=16) select b.tile_no, b.z, cast(wx+4*bx as double) as x1, cast(wy+4*b_y as double) as y1, cast(wx+4*bx+4 as double) as x2, cast(wy+4*b_y+4 as double) as y2, round(m/255+1e-9,6) as score, cast(0 as bigint) as class from blocks b where m>90 and m/255>=0.36e0",
+        "sinks_and_readers": f"with {DET}, {DIM} select z, name as class_name, count(*) as boxes, round(sum(x1)+sum(y2)*3, 3) as places, round(sum(score)+1e-9,6) as scores from det join dim on det.class=dim.class group by all",
         "z_downsample": f"with {DET} select det_id, tile_no, cast(floor((z-1)/2) as bigint)+1 as z from det where (z-1)%2=0",
         "dashed_segments": f"with {DET}, sd as ({SIDE_ROWS}), n as (select *, case when class<3 then greatest(1, cast(floor((abs(bx-ax)+abs(y_b-ay))/8) as bigint)) else 1 end as n from sd), k as (select *, unnest(range(0, n, 2)) as k from n) select det_id, side, k, {part('ax', 'bx', 'k')} as sx, {part('ay', 'y_b', 'k')} as sy, {part('ax', 'bx', '(k+1)')} as ex, {part('ay', 'y_b', '(k+1)')} as ey from k",
-        "link_candidates": f"with {OWNED}, o as (select *, (z*2+case when class<3 then 0 else 1 end)*1099511627776+det_id as ord from own) select a.ord as a, b.ord as b from o a join o b on a.class=b.class and b.z>a.z and b.z<=a.z+3 and a.x1<b.x2 and b.x1<a.x2 and a.y1<b.y2 and b.y1<a.y2 where {LINK}",
+        "link_candidates": f"with {OWNED}, o as (select * from own) select a.det_id as a, b.det_id as b from o a join o b on a.class=b.class and b.z>a.z and b.z<=a.z+3 and a.x1<b.x2 and b.x1<a.x2 and a.y1<b.y2 and b.y1<a.y2 where {LINK}",
     }

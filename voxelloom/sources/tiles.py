@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import schemas
-from ..storage import exists
+from ..storage import exists, listed
+
+LOG = logging.getLogger("voxelloom")
 
 
 def slices(spark: SparkSession, root: str, pattern: str = "*.tiff*") -> DataFrame:
@@ -23,6 +27,41 @@ def slices(spark: SparkSession, root: str, pattern: str = "*.tiff*") -> DataFram
     return named.join(places.select("path", "z"), "path")
 
 
+#: Files of the second channel: either ending in any case; names that begin with a dot are passed over by Spark.
+SECOND = "*.{[tT][iI][fF],[tT][iI][fF][fF]}"
+
+
+def second_channel(spark: SparkSession, root: str, pattern: str = SECOND) -> DataFrame | None:
+    """(tile_name, stem, content) of the second channel's slices, which pair_channels joins by tile and stem; None without the folder.
+
+    pattern "*" takes files of any ending.
+    """
+    if not root or not exists(spark, root):
+        return None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("tile_name"), F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1).alias("stem"), "content")
+
+
+def leaf_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(name, path) of every folder at or below root that holds no folder, by name: tiles, of which there are few, with or without slices."""
+    out, open_ = [], [root.rstrip("/")]
+    while open_:
+        at = open_.pop()
+        below = [p for p, is_folder, _, _ in listed(spark, at) if is_folder]
+        open_ += below
+        if not below and exists(spark, at):
+            out.append((at.rsplit("/", 1)[1], at))
+    return sorted(out)
+
+
+def check_paths(spark: SparkSession, first: str | None, second: str | None) -> None:
+    """An error if the first channel isn't there; a warning if the second isn't: then there is one channel alone."""
+    if not first or not exists(spark, first):
+        raise FileNotFoundError(f"no first channel at {first}")
+    if not second or not exists(spark, second):
+        LOG.warning("no second channel at %s: one channel alone", second)
+
+
 def tiles(spark: SparkSession, root: str, pattern: str = "*.tiff*") -> DataFrame:
     """(tile_name, slices) of the folders that hold slices."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path")
@@ -34,8 +73,50 @@ def pair_channels(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.join(second.select("tile_name", "stem", F.col("content").alias("content_2")), ["tile_name", "stem"], "left")
 
 
+def unpack_runs(data: bytes) -> bytes:
+    out, i = bytearray(), 0
+    while i < len(data):
+        n = data[i]
+        if n < 128:
+            out += data[i + 1 : i + 2 + n]
+            i += n + 2
+        else:
+            if n > 128:
+                out += data[i + 1 : i + 2] * (257 - n)
+            i += 2 if n > 128 else 1
+    return bytes(out)
+
+
+def unpack_lzw(data: bytes) -> bytes:
+    """Codes of nine to twelve bits, the highest bit first; 256 clears the table and 257 ends."""
+    table, out, width, last = [], [], 9, b""
+    held = bits = 0
+    for byte in data:
+        held, bits = (held << 8 | byte) & 0xFFFFFFFF, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code = held >> bits & (1 << width) - 1
+        if code == 257:
+            break
+        if code == 256:
+            table, width, last = [bytes([k]) for k in range(256)] + [b"", b""], 9, b""
+            continue
+        entry = table[code] if code < len(table) else last + last[:1]
+        out.append(entry)
+        if last:
+            table.append(last + entry[:1])
+        last = entry
+        width = 9 if len(table) < 511 else 10 if len(table) < 1023 else 11 if len(table) < 2047 else 12
+    return b"".join(out)
+
+
+#: A TIFF's numbers of compression.
+UNPACK = {1: bytes, 5: unpack_lzw, 8: zlib.decompress, 32773: unpack_runs, 32946: zlib.decompress}
+
+
 def decode_tiff(data: bytes) -> np.ndarray | None:
-    """The first plane of an uncompressed 8- or 16-bit TIFF; None if it is anything else."""
+    """The first plane of an 8- or 16-bit TIFF in strips, plain or packed by runs, LZW or deflate; None if it is anything else."""
     try:
         order = {b"II": "<", b"MM": ">"}[data[:2]]
         if struct.unpack(order + "H", data[2:4])[0] != 42:
@@ -51,12 +132,14 @@ def decode_tiff(data: bytes) -> np.ndarray | None:
             tags[tag] = list(struct.unpack(order + code * n, data[where : where + n * size]))
         width, height, bits = tags[256][0], tags[257][0], tags.get(258, [1])[0]
         samples = tags.get(277, [1])[0]
-        if tags.get(259, [1])[0] != 1 or bits not in (8, 16):
+        unpack = UNPACK.get(tags.get(259, [1])[0])
+        if unpack is None or bits not in (8, 16):
             return None
-        raw = b"".join(data[o : o + n] for o, n in zip(tags[273], tags[279], strict=True))
+        raw = b"".join(unpack(data[o : o + n]) for o, n in zip(tags[273], tags[279], strict=True))
         image = np.frombuffer(raw, f"{order}u{bits // 8}")[: width * height * samples]
-        return image.reshape(height, width, samples)[:, :, 0].astype(f"<u{bits // 8}")
-    except (KeyError, IndexError, ValueError, struct.error):
+        image = image.reshape(height, width, samples)[:, :, 0].astype(f"<u{bits // 8}")
+        return np.cumsum(image, axis=1, dtype=image.dtype) if tags.get(317, [1])[0] == 2 else image
+    except (KeyError, IndexError, ValueError, struct.error, zlib.error):
         return None
 
 
@@ -88,10 +171,10 @@ def layout_path(spark: SparkSession, folder: str) -> str:
 
 
 def layout(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each stack of a layout file."""
+    """A row for each stack of a layout file; tile_no counts them by row and column."""
     attrs = "_ROW bigint, _COL bigint, _ABS_H bigint, _ABS_V bigint, _ABS_D bigint, _DIR_NAME string"
     rows = spark.read.format("xml").option("rowTag", "Stack").schema(attrs).load(path)
-    return rows.select(F.col("_ROW").alias("row"), F.col("_COL").alias("col"), F.col("_ABS_H").alias("abs_x"), F.col("_ABS_V").alias("abs_y"), F.col("_ABS_D").alias("abs_z"), F.element_at(F.split("_DIR_NAME", "/"), -1).alias("tile_name"))
+    return rows.select(F.col("_ROW").alias("row"), F.col("_COL").alias("col"), F.col("_ABS_H").alias("abs_x"), F.col("_ABS_V").alias("abs_y"), F.col("_ABS_D").alias("abs_z"), F.element_at(F.split("_DIR_NAME", r"[/\\]"), -1).alias("tile_name")).withColumn("tile_no", (F.row_number().over(Window.partitionBy().orderBy("row", "col")) - 1).cast("bigint"))  # a row a tile
 
 
 def layout_size(spark: SparkSession, path: str) -> DataFrame:
@@ -104,6 +187,23 @@ def tile_results(spark: SparkSession, path: str, tolerant: bool = False) -> Data
     return df.withColumn("z", F.col("z").cast("bigint"))
 
 
+def single_tile(spark: SparkSession, folder: str) -> DataFrame:
+    """The first result file of a folder by name, rows that don't parse left out: a tile by itself needs no layout. No rows without a file."""
+    found = [p for p, is_folder, _, _ in listed(spark, folder) if not is_folder and p.endswith("_result.csv")]
+    return tile_results(spark, found[0], tolerant=True) if found else spark.createDataFrame([], schemas.TILE_RESULT).withColumn("z", F.col("z").cast("bigint"))
+
+
+def cached_detections(spark: SparkSession, path: str) -> DataFrame:
+    """(z, boxes: x1, y1, x2, y2, score, class_name in a row's order of place) of earlier results, for quality alone; bad rows are left out."""
+    box = F.struct("x1", "y1", "x2", "y2", "score", "class_name")
+    return tile_results(spark, path, tolerant=True).filter("z is not null").groupBy("z").agg(F.array_sort(F.collect_list(box)).alias("boxes"))
+
+
+def global_boxes(spark: SparkSession, path: str) -> DataFrame:
+    """Linked boxes as report.write_boxes leaves them."""
+    return spark.read.schema(schemas.GLOBAL_BOX).option("header", True).csv(path)
+
+
 def tile_qc(spark: SparkSession, path: str) -> DataFrame:
     """Quality tables of tiles; the tile is the file's stem, and unreadable files are passed over."""
     df = spark.read.option("header", True).option("ignoreCorruptFiles", True).schema(schemas.TILE_QC).csv(f"{path}/*_qc_metrics.csv")

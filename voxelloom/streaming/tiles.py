@@ -1,4 +1,4 @@
-"""Arriving tile results, de-duplicated by tile as they come."""
+"""Arriving tile results, batch by batch."""
 
 from __future__ import annotations
 
