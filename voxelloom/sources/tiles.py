@@ -183,7 +183,9 @@ def layout_size(spark: SparkSession, path: str) -> DataFrame:
 
 def tile_results(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
     """Header-less result files with | as quote; tolerant drops rows that don't parse. z is cut to a whole number."""
-    df = spark.read.schema(schemas.TILE_RESULT).option("quote", "|").option("mode", "DROPMALFORMED" if tolerant else "PERMISSIVE").csv(path)
+    df = spark.read.schema(schemas.TILE_RESULT).option("quote", "|").csv(path)
+    if tolerant:
+        df = df.dropna(subset=["x1", "y1", "x2", "y2", "class_name", "score", "z"])
     return df.withColumn("z", F.col("z").cast("bigint"))
 
 
