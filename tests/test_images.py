@@ -154,7 +154,7 @@ def test_a_whole_run(spark, tmp_path):
     stages = sorted(p.name for p in (out / "stages").iterdir())
     run.project(spark, settings, lambda: detector.bright_blocks(100, 16), f"{root}/c1", f"{root}/c2", f"{root}/out")
     assert sorted(p.name for p in (out / "stages").iterdir()) == stages and len(read(out / "global_bboxes.csv")) == 2
-    alone = run.project(spark, Settings(xsize=32, ysize=32, step=32, tile_size=64, run_qc=False, merge_z=False, start_id=1, end_id=1, downsample_z=True), lambda: detector.bright_blocks(60, 16), f"{root}/c1", f"{root}/none", f"{root}/out2")
+    alone = run.project(spark, Settings(conf_thresh=0.3, xsize=32, ysize=32, step=32, tile_size=64, run_qc=False, merge_z=False, start_id=1, end_id=1, downsample_z=True), lambda: detector.bright_blocks(60, 16), f"{root}/c1", f"{root}/none", f"{root}/out2")
     assert len(read(tmp_path / "out2" / "global_bboxes.csv")) == 2 and "qc_metrics" not in alone  # slices 0 and 4; 2 is broken
     with pytest.raises(FileNotFoundError):
         run.project(spark, settings, detector.bright_blocks, f"{root}/none", None, f"{root}/out3")
