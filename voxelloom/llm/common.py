@@ -100,9 +100,15 @@ def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return texts.cast(pa.binary()).fill_null(b"").to_pylist()
 
 
+def placed(df: DataFrame, *known: str) -> DataFrame:
+    """df with every column but the known ones under a name of its place, so that names that clash or hold dots mean nothing."""
+    return df.toDF(*[c if c in known else f"c{i}" for i, c in enumerate(df.columns)])
+
+
 def kept_rows(df: DataFrame, keep: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
     """The rows of df whose whole text keep marks, in one pass without a shuffle and with every column, whatever its name; null texts are empty."""
     tuned(df.sparkSession)
+    rows = placed(df, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         released()
@@ -110,7 +116,7 @@ def kept_rows(df: DataFrame, keep: Callable[[list[bytes]], np.ndarray]) -> DataF
             if b.num_rows:
                 yield b.filter(pa.array(keep(as_bytes(b))))
 
-    return df.mapInArrow(run, df.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*df.columns)
 
 
 def by_size(texts: list[bytes], limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:

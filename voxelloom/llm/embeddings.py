@@ -17,13 +17,10 @@ from .components import connected, local_labels
 SAMPLE = 16_384
 #: Vectors of a list that one task holds; longer lists are dealt over several.
 LIST_ROWS = 4_096
-#: How far beyond a row's own cell a partner's cell is probed: this many standard deviations of a partner at the
-#: threshold along the line between two centroids, as the sample spreads along such lines (see reach_of). A partner farther
-#: along is missed from that side, at most 0.35 % for each list at 2.7 if the spread is normal, and found from the other side
-#: unless missed there, too. A reach of the radius itself is exact.
-MARGIN = 2.7
-#: Lists around a list that its spread is measured to, and the share of lists and of the sample's own pairs that the reach covers.
-LINES, COVERED, PAIRS_COVERED = 16, 0.95, 0.999
+#: Share of trial pairs, whose cosine is just the threshold, that probing must bring together, from either side; trial pairs of each
+#: kind, and the fewest real pairs of the sample that count as a kind. A pair that is nearer is found more surely. With as many
+#: probes as there are lists the search is exact: probes=lists, or lists=1.
+COVERED, TRIALS, FEWEST = 0.9995, 4_096, 50
 #: Pairs whose cosine a task computes at once.
 PAIRS = 1 << 17
 
@@ -84,74 +81,79 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(len(column), -1)
 
 
-def cells(x: np.ndarray, index: Index, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(home list of each vector, rows, lists): the lists whose border with the row's own cell is within reach.
-
-    A vector nearer to c than to the row's own centroid lies beyond the plane half way between the two, so
-    a list whose plane is farther than reach holds no partner unless that lies farther in its direction.
-    """
+def gaps(x: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """(home list of each vector, how far it lies from the border between its cell and each list's; 0 for its own)."""
     d = squared(x, index.coarse)
     home = d.argmin(1)
     own = index.coarse[home]
     between = np.sqrt(squared(own, index.coarse))
-    gap = (d - d[np.arange(len(x)), home][:, None]) / np.maximum(2 * between, 1e-12)
-    near = gap <= reach + 1e-6
-    near[np.arange(len(x)), home] = True
-    rows, lists = np.nonzero(near)
-    return home, rows, lists
+    gap = np.maximum(d - d[np.arange(len(x)), home][:, None], 0) / np.maximum(2 * between, 1e-12)
+    gap[np.arange(len(x)), home] = -1.0
+    return home, gap
 
 
-def reach_of(sample: np.ndarray, index: Index, dim: int, radius: float, margin: float) -> float:
-    """The border distance to probe, from how the sample lies; radius at most.
+def cells(x: np.ndarray, index: Index, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(home list of each vector, its limit, rows, lists): the lists whose border lies within the limit, probes of them besides its own.
 
-    A list's spread is the mean share of its residuals' squares that lies along the lines to the lists around it: 1 / dim if
-    every direction is alike, more for vectors of fewer dimensions in truth. Besides, the reach covers the border distances of
-    the pairs within radius that the sample itself holds.
+    The limit lies half way to the next list, so that whoever asks again gets the same answer.
     """
-    lists = len(index.coarse)
-    if lists < 2 or len(sample) < 2:
-        return radius
-    home = np.concatenate([squared(sample[i : i + 256], index.coarse).argmin(1) for i in range(0, len(sample), 256)])
-    by = np.argsort(home, kind="stable")
-    shares = []
-    for own in np.split(by, np.flatnonzero(np.diff(home[by])) + 1):
-        c = index.coarse[home[own[0]]]
-        line = index.coarse - c
-        length = np.sqrt((line * line).sum(1))
-        near = np.argsort(length)[1 : LINES + 1]
-        near = near[length[near] > 1e-9]
-        r = sample[own] - c
-        r = r[(r * r).sum(1) > 1e-12]
-        if len(r) and len(near):
-            shares.append((((r @ (line[near] / length[near][:, None]).T) ** 2) / (r * r).sum(1)[:, None]).mean())
-    share = max(1 / max(1, dim), float(np.quantile(shares, COVERED)) if shares else 1.0)
-    seen = np.zeros(1001, np.int64)  # border distances of the sample's pairs, in thousandths of radius
-    for i in range(0, len(sample), 256):
-        x, own = sample[i : i + 256], home[i : i + 256]
-        a, b = np.nonzero(x @ sample.T >= 1 - radius * radius / 2)
-        pick = own[a] != home[b]
-        a, b = a[pick], home[b[pick]]
-        if len(a):
-            d = squared(x, index.coarse)
-            between = np.concatenate([np.sqrt(((index.coarse[own[a[k : k + PAIRS]]] - index.coarse[b[k : k + PAIRS]]) ** 2).sum(1)) for k in range(0, len(a), PAIRS)])
-            gap = (d[a, b] - d[a, own[a]]) / np.maximum(2 * between, 1e-12)
-            seen += np.bincount(np.clip(np.ceil(gap / radius * 1000), 0, 1000).astype(int), minlength=1001)
-    total = np.cumsum(seen)
-    pairs = int(np.searchsorted(total, PAIRS_COVERED * total[-1])) / 1000 if total[-1] else 0.0
-    return radius * min(1.0, max(margin * share**0.5, pairs))
-
-
-def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None, margin: float = MARGIN) -> DataFrame:
+    home, gap = gaps(x, index)
+    if probes >= len(index.coarse) - 1:
+        limit = np.full(len(x), np.inf)
+    else:
+        low = np.partition(gap, [probes, probes + 1], axis=1)
+        limit = (low[:, probes] + low[:, probes + 1]) / 2
+    rows, lists = np.nonzero(gap <= limit[:, None] + 1e-9)
+    return home, limit, rows, lists
+
+
+def trial_pairs(sample: np.ndarray, least: float, dim: int, seed: int = 42) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of vectors as near as links may just be: in any direction, in the directions in which the sample spreads, and its own pairs."""
+    rng = np.random.default_rng(seed)
+    x = sample[rng.integers(0, len(sample), TRIALS)]
+    kinds = []
+    for off in (np.pad(rng.normal(size=(TRIALS, dim)), ((0, 0), (0, sample.shape[1] - dim))), sample[rng.integers(0, len(sample), TRIALS)] - sample[rng.integers(0, len(sample), TRIALS)]):
+        off = off - (off * x).sum(1, keepdims=True) * x
+        size = np.sqrt((off * off).sum(1))
+        some = size > 1e-9
+        kinds.append((x[some], least * x[some] + np.sqrt(1 - least * least) * off[some] / size[some][:, None]))
+    found = []
+    for i in range(0, len(sample), 512):
+        a, b = np.nonzero(sample[i : i + 512] @ sample.T >= least)
+        found.append(np.stack([a + i, b])[:, a + i < b])
+    a, b = np.concatenate(found, axis=1)
+    if len(a) >= FEWEST:
+        pick = rng.integers(0, len(a), TRIALS)
+        kinds.append((sample[a[pick]], sample[b[pick]]))
+    return [k for k in kinds if len(k[0])]
+
+
+def probes_for(sample: np.ndarray, index: Index, least: float, dim: int) -> int:
+    """Lists to probe besides a vector's own, so that COVERED of each kind of trial pairs meet from one side or the other."""
+    need = 1
+    if len(index.coarse) < 3 or least <= 0:
+        return len(index.coarse)
+    for x, y in trial_pairs(sample, least, dim):
+        ranks = []
+        for i in range(0, len(x), 256):
+            (hx, gx), (hy, gy) = gaps(x[i : i + 256], index), gaps(y[i : i + 256], index)
+            at = np.arange(len(hx))
+            ranks.append(np.minimum((gx < gx[at, hy][:, None]).sum(1), (gy < gy[at, hx][:, None]).sum(1)))
+        need = max(need, int(np.ceil(np.quantile(np.concatenate(ranks), COVERED))))
+    return need
+
+
+def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None, probes: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each vector: links are pairs with a cosine of least or more.
 
     Equal vectors become one row with a count before anything is compared. Each vector has one home list and visits
-    the lists whose border is within reach (see MARGIN); a link found from one side counts for both its ends. In a list, table
+    the lists whose borders lie nearest, as many as trial pairs ask for (see COVERED); a link found from one side counts for both its ends. In a list, table
     look-ups give each pair's approximate distance; only pairs that this distance and the home vector's own
     quantisation error can't rule out are reranked by the exact cosine. Long lists are dealt over several
     tasks. A task returns counts and links enough to join its vectors, never all pairs.
 
-    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and so do those of another
-    length than the commonest, and those whose vec_id is null. Rows that repeat a vec_id count as one node; equal
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and so do those whose vec_id is
+    null. Vectors of different lengths never link; each length has an index of its own. Rows that repeat a vec_id count as one node; equal
     vectors link with each other. An empty table gives no rows. Other columns are ignored.
     """
     spark = df.sparkSession
@@ -160,17 +162,24 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
     rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     good = F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.coalesce(F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))), F.lit(False)) & F.coalesce(F.exists("v", lambda e: e != 0), F.lit(False))
     rows = rows.withColumn("v", F.when(good, F.col("v")))
-    common = rows.filter("v is not null").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if common is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.coalesce(F.col("vec_id").isNotNull(), F.lit(False)).alias("kept"))
-    rows = rows.withColumn("v", F.when(F.size("v") == common["n"], F.col("v")))
-    distinct, _ = written(rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
+    lengths = [r["n"] for r in rows.filter("v is not null").select(F.size("v").alias("n")).distinct().orderBy("n").collect()]  # of which a table has few
+    parts = [of_length(rows.filter(F.size("v") == n), n, least, lists, probes) for n in lengths]
+    out = rows.filter("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for part in parts:
+        out = out.unionByName(part)
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+def of_length(rows: DataFrame, length: int, least: float, lists: int | None, probes: int | None) -> DataFrame:
+    """(vec_id, n_links, component_id) of rows (vec_id, v) whose vectors are good and of one length."""
+    spark = rows.sparkSession
+    distinct, _ = written(rows.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
     n = distinct.count()
     sample = distinct.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
     fitted = units(np.array(sample.column("v").to_pylist()))
     index = fit(fitted, lists or int(min(16_384, max(1, 2 * n**0.5))))
     radius = float(np.sqrt(2 - 2 * least))
-    reach = reach_of(fitted, index, common["n"], radius, margin)
+    near = probes if probes is not None else probes_for(fitted, index, least, length)
     shared = spark.sparkContext.broadcast(index)  # lists x dim and parts x codes numbers: bounded whatever the input
 
     def packed(b: pa.RecordBatch) -> np.ndarray:
@@ -191,7 +200,7 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
             if not b.num_rows:
                 continue
             raw, ids, copies = packed(b), b.column(1).to_numpy(), b.column(2).to_numpy()
-            home, row, cell = cells(units(raw), shared.value, reach)
+            home, limit, row, cell = cells(units(raw), shared.value, near)
             times = deal[cell]  # lists that are nobody's home have no task
             row, cell = np.repeat(row, times), np.repeat(cell, times)
             part = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
@@ -201,7 +210,7 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
             vectors = [raw[i].tobytes() for i in range(len(raw))]
             for at in range(0, len(row), 4096):
                 s = slice(at, at + 4096)
-                yield pa.RecordBatch.from_arrays([pa.array(cell[s].astype(np.int32)), pa.array(part[s].astype(np.int32)), pa.array(role[s]), pa.array(ids[row[s]]), pa.array(copies[row[s]]), pa.array([vectors[i] for i in row[s]], pa.binary()), pa.array(home[row[s]].astype(np.int32))], ["list", "part", "role", "id", "copies", "v", "home"])
+                yield pa.RecordBatch.from_arrays([pa.array(cell[s].astype(np.int32)), pa.array(part[s].astype(np.int32)), pa.array(role[s]), pa.array(ids[row[s]]), pa.array(copies[row[s]]), pa.array([vectors[i] for i in row[s]], pa.binary()), pa.array(home[row[s]].astype(np.int32)), pa.array(limit[row[s]])], ["list", "part", "role", "id", "copies", "v", "home", "limit"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, at, held, home = shared.value, None, [], None
@@ -216,28 +225,28 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
                 piece = b.slice(lo, hi - lo)
                 if (cell, part) != at:
                     at, held, home = (cell, part), [], None
-                x = (units(matrix(piece.column(5))), piece.column(3).to_numpy(), piece.column(4).to_numpy(), piece.column(6).to_numpy())
+                x = (units(matrix(piece.column(5))), piece.column(3).to_numpy(), piece.column(4).to_numpy(), piece.column(6).to_numpy(), piece.column(7).to_numpy())
                 if role == 0:
                     held.append(x)
                 elif held:
                     if home is None:
-                        hx, hid, hn, _ = (np.concatenate(c) for c in zip(*held, strict=True))
-                        home = hx, hid, hn, *index.residual_codes(hx, np.full(len(hx), cell))
+                        hx, hid, hn, _, reach = (np.concatenate(c) for c in zip(*held, strict=True))
+                        home = hx, hid, hn, reach, *index.residual_codes(hx, np.full(len(hx), cell))
                     yield links(index, cell, home, x)
                 lo = hi
 
-    def visits(index: Index, hx: np.ndarray, cell: int, h: np.ndarray, to: np.ndarray) -> np.ndarray:
-        """Whether the vectors hx[h], which live in cell, visit the lists to: the rule of cells."""
+    def visits(index: Index, hx: np.ndarray, reach: np.ndarray, cell: int, h: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """Whether the vectors hx[h], which live in cell and have these limits, visit the lists to: the rule of cells."""
         out = np.zeros(len(h), bool)
         own = index.coarse[cell]
         for k in range(0, len(h), PAIRS // 4):
             x, c = hx[h[k : k + PAIRS // 4]], index.coarse[to[k : k + PAIRS // 4]]
             gap = (((x - c) ** 2).sum(1) - ((x - own) ** 2).sum(1)) / np.maximum(2 * np.sqrt(((c - own) ** 2).sum(1)), 1e-12)
-            out[k : k + PAIRS // 4] = (gap <= reach + 1e-6) | (to[k : k + PAIRS // 4] == cell)
+            out[k : k + PAIRS // 4] = (np.maximum(gap, 0) <= reach[h[k : k + PAIRS // 4]] + 1e-9) | (to[k : k + PAIRS // 4] == cell)
         return out
 
     def links(index: Index, cell: int, home: tuple, visit: tuple) -> pa.RecordBatch:
-        (hx, hid, hn, codes, error), (x, ids, copies, lives) = home, visit
+        (hx, hid, hn, reach, codes, error), (x, ids, copies, lives, _) = home, visit
         kinds, a, b = [], [], []
         step = max(1, PAIRS // len(hx))
         q = x - index.coarse[cell]
@@ -254,7 +263,7 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
             exact = np.concatenate([np.einsum("ij,ij->i", x[v[k : k + PAIRS // 4]], hx[h[k : k + PAIRS // 4]]) for k in range(0, len(v), PAIRS // 4)] or [np.zeros(0)])
             v, h = v[exact >= least], h[exact >= least]
             np.add.at(total, v, hn[h])
-            alone = ~visits(index, hx, cell, h, lives[v])  # the other side does not find the pair, so it is counted here for both
+            alone = ~visits(index, hx, reach, cell, h, lives[v])  # the other side does not find the pair, so it is counted here for both
             np.add.at(back, h[alone], copies[v[alone]])
             if len(v):
                 nodes, inverse = np.unique(np.concatenate((ids[v], hid[h])), return_inverse=True)
@@ -270,11 +279,10 @@ def near_duplicates(df: DataFrame, least: float = 0.9, lists: int | None = None,
             b.append(count[some])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(kinds)), pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["kind", "a", "b"])
 
-    placed = distinct.select("v", "id", "copies").mapInArrow(spread, "list int, part int, role byte, id long, copies long, v binary, home int")
+    placed = distinct.select("v", "id", "copies").mapInArrow(spread, "list int, part int, role byte, id long, copies long, v binary, home int, limit double")
     found, _ = written(placed.repartition("list", "part").sortWithinPartitions("list", "part", "role").mapInArrow(compare, "kind byte, a long, b long"), "found")
     degree = found.filter("kind = 0").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others"))
     comp = connected(found.filter("kind = 1").select("a", "b"))
     per = distinct.join(degree, "id", "left").join(comp.withColumnRenamed("node", "id"), "id", "left")
     per = per.select("v", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("component", "id").alias("root"))
-    out = rows.join(per, "v", "left").select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    return rows.join(per, "v").select("vec_id", F.col("links").cast("long").alias("n_links"), F.col("root").alias("component_id"))

@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 from pyspark.sql.window import Window
 
 from . import oph, simhash
-from .common import as_bytes, by_size, mix, released, text_of, tuned, word_shingles, written
+from .common import as_bytes, by_size, mix, placed, released, text_of, tuned, word_shingles, written
 from .components import connected
 
 #: A pair is proposed if all ROWS minima of one of BANDS bands are equal: at similarity 0.8 that fails for all bands with chance
@@ -151,11 +151,11 @@ def near_duplicates(df: DataFrame, width: int = 5, least: float = 0.8) -> DataFr
     within three bits, and each band's texts with a few others of it, are compared first, which joins large groups of near copies
     at a cost that grows with their texts; then all pairs of a band that this has left apart, first by their sketches.
 
-    Null texts are empty; rows that repeat are one node; an empty table gives no rows; other columns are kept and may not be
-    called node, bands, sketch, fp or component.
+    Null texts are empty; rows that repeat are one node; an empty table gives no rows; other columns are kept, whatever their names.
     """
     tuned(df.sparkSession)
-    kinds = StructType([*df.schema.fields, StructField("node", LongType()), StructField("bands", ArrayType(LongType())), StructField("sketch", BinaryType()), StructField("fp", LongType())])
+    plain = placed(df, "text")
+    kinds = StructType([*plain.schema.fields, StructField("node", LongType()), StructField("bands", ArrayType(LongType())), StructField("sketch", BinaryType()), StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         released()
@@ -170,7 +170,7 @@ def near_duplicates(df: DataFrame, width: int = 5, least: float = 0.8) -> DataFr
                 bands = pa.ListArray.from_arrays(pa.array(np.cumsum(size, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, pa.array(node.view(np.int64)), bands, pa.array(data, pa.binary()), pa.array(fp, pa.int64())], [*b.schema.names, "node", "bands", "sketch", "fp"])
 
-    docs, _ = written(df.mapInArrow(run, kinds), "shingled")
+    docs, _ = written(plain.mapInArrow(run, kinds), "shingled")
     nodes, _ = written(docs.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("fp").alias("fp")), "nodes")
     keys = nodes.select("node", F.explode("bands").alias("key"))
     members, _ = written(keys.join(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "key"), "members")
@@ -186,4 +186,4 @@ def near_duplicates(df: DataFrame, width: int = 5, least: float = 0.8) -> DataFr
     rest, _ = written(agreeing(parts, nodes.select("node", "sketch"), least).join(pairs, ["a", "b"], "left_anti"), "rest")
     links = links.unionByName(verified(rest, docs, width, least))
     out = docs.drop("bands", "sketch", "fp").join(connected(links), "node", "left")
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("component", "node").alias("component"))
+    return out.select(*plain.columns, F.coalesce("component", "node").alias("component")).toDF(*df.columns, "component")

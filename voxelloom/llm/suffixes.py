@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .common import Rolling, as_bytes, by_size, id_of, mix, released, text_of, tuned, written
+from .common import Rolling, as_bytes, by_size, id_of, mix, placed, released, text_of, tuned, written
 
 #: A repeat has this many bytes; the first digit is a string of GRAM bytes inside it.
 LENGTH, GRAM = 100, 32
@@ -137,9 +137,8 @@ def keyed(df: DataFrame, others: bool = False) -> DataFrame:
 
     It is doc_id itself, null as the smallest number, unless an id repeats; then rows are ranked by id and a hash of the text.
     """
-    names = [f"c{i}" if c not in ("doc_id", "text") else c for i, c in enumerate(df.columns)]
-    rows = df.toDF(*names)  # names that clash or hold dots mean nothing here
-    extra = [c for c in names if c not in ("doc_id", "text")] if others else []
+    rows = placed(df, "doc_id", "text")
+    extra = [c for c in rows.columns if c not in ("doc_id", "text")] if others else []
     rows = rows.select(id_of().alias("doc_id"), text_of().alias("text"), *extra).withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
     if not rows.groupBy("key").count().filter("count > 1").limit(1).count():
         return rows.select("key", "doc_id", "text", *extra)
