@@ -22,9 +22,9 @@ from .components import connected
 #: A pair is proposed if all ROWS minima of one of BANDS bands are equal: at similarity 0.8 that fails for all bands with chance
 #: (1 - 0.8 ** 4) ** 28, 4 in ten million pairs, and less above. The sketch has BINS minima in all, kept to four bits.
 BANDS, ROWS, BINS = 28, 4, 512
-#: Pairs whose sketches agree in less than least minus SLACK are not compared by their shingles: over five standard deviations of a
-#: sketch's estimate at similarity 0.8, 0.0184.
-SLACK = 0.095
+#: Pairs whose sketches agree in less than least minus SLACK are not compared by their shingles: four standard deviations (0.0184)
+#: of a sketch's estimate at similarity 0.8, so that 3 in 100,000 pairs of just that similarity are passed over, and fewer above.
+SLACK = 0.0736
 #: Orders in which a band's texts are compared with the next one each, before all pairs that are still apart.
 ORDERS = 3
 #: Texts of a band that one task holds on either side, and bytes of sketches that it compares at once.
@@ -99,14 +99,14 @@ def neighbours(members: DataFrame) -> DataFrame:
 def agreeing(members: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) of a band's texts in different parts (members has key, node, part) whose sketches agree enough.
 
-    Bands are compared in blocks inside tasks, so that only pairs that pass become rows. A band of more than BLOCK texts is dealt
-    over a task for each pair of its blocks.
+    Bands are compared in blocks inside tasks, so that only pairs that pass become rows, each in the first band that both share.
+    A band of more than BLOCK texts is dealt over a task for each pair of its blocks.
     """
     whole = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     rows = members.join(whole, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "node", "part", F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), (F.col("own") == F.col("other")).alias("alone"))
-    rows = rows.join(sketches, "node").select("cell", "node", "part", "side", "alone", "sketch")
+    rows = rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "key", "node", "part", F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), (F.col("own") == F.col("other")).alias("alone"))
+    rows = rows.join(sketches, "node").select("cell", "key", "node", "part", "side", "alone", "sketch", "bands")
     bits = oph.BITS
     enough = BINS * ((least - SLACK) * (1 - 0.5**bits) + 0.5**bits)
 
@@ -118,14 +118,19 @@ def agreeing(members: DataFrame, sketches: DataFrame, least: float) -> DataFrame
             t = pa.Table.from_batches(held).combine_chunks()
             node, part, side = (t.column(c).to_numpy() for c in ("node", "part", "side"))
             s = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), BINS)
-            left, right = (np.arange(len(node)),) * 2 if t.column("alone")[0].as_py() else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+            bands, key = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), BANDS), t.column("key")[0].as_py()
+            alone = t.column("alone")[0].as_py()
+            left, right = (np.arange(len(node)),) * 2 if alone else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
             step = max(1, AT_ONCE // (BINS * max(1, len(right))))
             for at in range(0, len(left), step):
                 x = left[at : at + step]
-                i, j = np.nonzero(part[x][:, None] != part[right][None])
+                apart = part[x][:, None] != part[right][None]
+                i, j = np.nonzero(apart & (x[:, None] < right[None]) if alone else apart)  # each pair of a block once
                 for lo in range(0, len(i), AT_ONCE // BINS):
                     a, b = x[i[lo : lo + AT_ONCE // BINS]], right[j[lo : lo + AT_ONCE // BINS]]
                     near = (s[a] == s[b]).sum(1) >= enough
+                    a, b = a[near], b[near]
+                    near = bands[a, (bands[a] == bands[b]).argmax(1)] == key
                     a, b = node[a[near]], node[b[near]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -183,7 +188,7 @@ def near_duplicates(df: DataFrame, width: int = 5, least: float = 0.8) -> DataFr
     pairs, _ = written(first.unionAll(neighbours(members)).distinct(), "pairs")
     links = verified(pairs, docs, width, least)
     parts, _ = written(members.select("key", "node").join(connected(links), "node", "left").select("key", "node", F.coalesce("component", "node").alias("part")), "parts")
-    rest, _ = written(agreeing(parts, nodes.select("node", "sketch"), least).join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest, _ = written(agreeing(parts, nodes.select("node", "sketch", "bands"), least).join(pairs, ["a", "b"], "left_anti"), "rest")
     links = links.unionByName(verified(rest, docs, width, least))
     out = docs.drop("bands", "sketch", "fp").join(connected(links), "node", "left")
     return out.select(*plain.columns, F.coalesce("component", "node").alias("component")).toDF(*df.columns, "component")
