@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..storage import importable
+
 Boxes = list[tuple[float, float, float, float, float, int]]
 #: Of a window, the least score and the overlap above which the model itself drops the weaker of two boxes.
 Detector = Callable[[np.ndarray, float, float], Boxes]
@@ -47,4 +49,5 @@ def detect(windows: DataFrame, load: Callable[[], Detector], conf_thresh: float
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 8, kinds, strict=True)], names)
 
     columns = windows.select("tile_no", "z", "wx", "wy", "height", "width", "data")
+    importable(windows.sparkSession)
     return columns.mapInArrow(run, "tile_no bigint, z bigint, x1 double, y1 double, x2 double, y2 double, score double, class bigint")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..storage import importable
 from .detector import Detector
 from .qc import shift_between
 
@@ -141,6 +142,7 @@ def each(images: DataFrame, schema: str, found: Callable[[np.ndarray, np.ndarray
                 rows = [(tile, z, *r) for r in found(array(h, w, bits, c1), array(h, w, bits, c2), bits)] if c1 is not None else []
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], ["tile_name", "z", *names])
 
+    importable(images.sparkSession)
     return images.select("tile_name", "z", "height", "width", "bits", "c1", "c2").mapInArrow(run, f"tile_name string, z int, {schema}")
 
 
@@ -159,6 +161,7 @@ def two_channels(first: DataFrame, second: DataFrame | None, decode: Callable[[b
                 fields = (None,) * 5 if one is None else (*one.shape, 8 * one.dtype.itemsize, one.tobytes(), aligned(two, one).astype(one.dtype).tobytes())
                 yield pa.RecordBatch.from_arrays([*b.slice(i, 1).columns[:3], *[pa.array([f], k) for f, k in zip(fields, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)]], ["tile_name", "stem", "z", "height", "width", "bits", "c1", "c2"])
 
+    importable(pairs.sparkSession)
     return pairs.mapInArrow(run, IMAGES)
 
 
@@ -184,6 +187,7 @@ def detect(images: DataFrame, load: Callable[[], Detector], xsize: int, ysize: i
                 kinds = [pa.string(), pa.string(), pa.int64(), *[pa.float64()] * 5, pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 9, kinds, strict=True)], ["tile_name", "stem", "z", "x1", "y1", "x2", "y2", "score", "class"])
 
+    importable(images.sparkSession)
     return images.mapInArrow(run, "tile_name string, stem string, z long, x1 double, y1 double, x2 double, y2 double, score double, class long")
 
 
@@ -223,6 +227,7 @@ def measured(images: DataFrame, boxes: DataFrame, quality: bool = True, edge: in
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
+    importable(rows.sparkSession)
     return rows.select("tile_name", "stem", "z", "height", "width", "bits", "c1", "c2", "boxes").mapInArrow(run, schema)
 
 
@@ -242,6 +247,7 @@ def slice_quality(rows: DataFrame) -> DataFrame:
                 out.append([0.0 if p is None or n.mean() <= LIMITS[bits][2] else shift_between(p.astype(float), n.astype(float)) for n, p in zip(now, last, strict=True)])
             yield pa.RecordBatch.from_arrays([*b.columns[:2], *[pa.array([d[k] for d in out], pa.float64()) for k in (0, 1)]], ["tile_name", "z", "c1_drift", "c2_drift"])
 
+    importable(rows.sparkSession)
     drifts = lagged.select("tile_name", "z", "bits", "height", "width", "_height", "_width", "small1", "small2", "_small1", "_small2").mapInArrow(run, "tile_name string, z int, c1_drift double, c2_drift double")
     names = [f"{c}_{m}" for c in ("c1", "c2") for m in METRICS]
     return rows.select("tile_name", "z", F.size("boxes").alias("detection_count"), *names, "logic_mismatch_rate", "yellow_balance").join(drifts, ["tile_name", "z"])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.graph import components
-from ..storage import stored
+from ..storage import importable, stored
 
 #: Edge of the grid cells that candidates are joined on.
 CELL = 64.0
@@ -94,6 +94,7 @@ def link(df: DataFrame, threshold: float, gap: int, min_layers: int) -> DataFram
         places = link_rows([(i, *r[2:]) for i, r in enumerate(rows)], threshold, gap, min_layers)
         return pa.table({"det_id": pa.array([rows[i][0] for i in places], pa.int64())})
 
+    importable(df.sparkSession)
     linked = boxes.join(comp, "det_id").groupBy("component").applyInArrow(run, "det_id long")
     if min_layers <= 1:
         linked = linked.unionByName(boxes.join(touched.withColumnRenamed("id", "det_id"), "det_id", "left_anti").select("det_id"))

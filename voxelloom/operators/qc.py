@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..storage import importable
+
 #: A tile fails above either.
 MAX_DRIFT, MAX_LOGIC = 10, 0.15
 
@@ -69,6 +71,7 @@ def shift_between(before: np.ndarray, now: np.ndarray) -> float:
 def drift(images: DataFrame, keys: list[str], least_mean: float = 100.0) -> DataFrame:
     """(keys, z, drift): each slice against the one before it; images has height, width and data (little-endian 16-bit)."""
     w = Window.partitionBy(*keys).orderBy("z")
+    importable(images.sparkSession)
     pairs = images.withColumns({"_data": F.lag("data").over(w), "_h": F.lag("height").over(w), "_w": F.lag("width").over(w)})
 
     @F.pandas_udf("double")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.images import IMAGES
+from ..storage import importable
 
 TILE, SLICES, EDGE = 512, 12, 40
 
@@ -61,6 +62,7 @@ def slices(spark: SparkSession, folder: str) -> DataFrame:
             kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 8, kinds, strict=True)], ["tile_name", "stem", "z", "height", "width", "bits", "c1", "c2"])
 
+    importable(spark)
     return table(spark, folder, "supplier").select(F.col("s_suppkey").cast("bigint")).mapInArrow(run, IMAGES)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import schemas
-from ..storage import exists, listed
+from ..storage import exists, importable, listed
 
 LOG = logging.getLogger("voxelloom")
 
@@ -159,6 +159,7 @@ def decoded(df: DataFrame, content: str = "content") -> DataFrame:
             fields = [[None if i is None else f(i) for i in images] for f in (lambda i: i.shape[0], lambda i: i.shape[1], lambda i: 8 * i.dtype.itemsize, lambda i: i.tobytes())]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], *[pa.array(f, k) for f, k in zip(fields, (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)]], ["tile_name", "stem", "z", "height", "width", "bits", "data"])
 
+    importable(df.sparkSession)
     return df.select("tile_name", "stem", F.col("z").cast("int").alias("z"), content).mapInArrow(run, "tile_name string, stem string, z int, height int, width int, bits int, data binary")
 
 

@@ -9,12 +9,18 @@ import tempfile
 import uuid
 from dataclasses import asdict
 from datetime import UTC, datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .config import Settings
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers find this package, wherever the driver was started."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a temporary folder only in local mode, where driver and executors are one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
