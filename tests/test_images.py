@@ -180,3 +180,41 @@ def test_readers_and_settings(spark, tmp_path):
     assert s.classes == ((0, "red glia", "red", "glia", 2), (1, "green glia", None, None, 2)) and (s.merge_z, s.sample_step, s.low_percentile, s.paths) == (False, 7, 0.5, {"model_path": "m.pt"})
     names = spark.createDataFrame([(0, "row001_col001"), (1, "row002_col000"), (2, "row001_col000")], "pos long, name string")
     assert {r.name: (r.row, r.col) for r in report.grid_from_names(names, False, False).collect()} == {"row001_col001": (1, 0), "row002_col000": (0, 1), "row001_col000": (1, 1)}
+
+
+def test_long_forms_equal_the_arrays(spark):
+    px, boxes = X.pixels(spark, DATA), X.image_boxes(spark, DATA)
+    long = raster.compose(px.select(*KEYS, "y", "x", F.col("c1").alias("v")), px.filter("c2 > 500").select(*KEYS, "y", "x", F.col("c2").alias("v")), KEYS)
+    assert rows(long.select(*KEYS, "y", "x", "c1", "c2")) == rows(queries.channel_compose(spark, DATA))
+    assert rows(raster.resize_nearest(px, X.images(px), KEYS, 20).select(*KEYS, "y", "x", "c1")) == rows(queries.resize_nearest(spark, DATA))
+    means = dict(rows(queries.box_mean(spark, DATA)))
+    got = dict(rows(raster.box_mean(boxes, px, X.images(px), KEYS).select("det_id", "mean")))
+    assert got.keys() == means.keys() and all(abs(got[k] - means[k]) < 1e-6 for k in got) and 0.0 in means.values()
+
+
+ARRAYS = ["channel_logic"]
+
+
+@pytest.mark.parametrize("name", ARRAYS)
+def test_images_stay_one_row_a_slice(spark, name):
+    """Pixels as rows look as small to Spark as the files they come from, and were broadcast; one small file was one task."""
+    df = queries.queries()[name](spark, DATA)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(" not in plan and "RepartitionByExpression" in plan
+
+
+def test_long_forms_never_broadcast_pixels(spark):
+    px = X.pixels(spark, DATA)
+    v = px.select(*KEYS, "y", "x", F.col("c1").alias("v"))
+    for df in (raster.compose(v, v, KEYS), raster.resize_nearest(px, X.images(px), KEYS, 20), raster.percentile_stretch(px, KEYS, "c1"), raster.box_mean(X.image_boxes(spark, DATA), px, X.images(px), KEYS)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        below = [b[: b.index("Scan parquet")] for b in plan.split("BroadcastExchange")[1:]]
+        assert "SortMergeJoin" in plan and not any("explode(" in b.split("HashAggregate")[0] for b in below)
+
+
+def test_sums_of_boxes():
+    image = np.random.default_rng(3).integers(0, 60_000, (7, 9)).astype(np.uint16)
+    boxes = np.array([[0, 0, 9, 7], [1.9, 2.9, 4.9, 5.9], [-3, -3, 2, 2], [8, 6, 50, 50], [5, 5, 5, 9], [6, 6, 2, 2], [np.nan, 0, 3, 3], [-9, -9, -1, -1]])
+    total, n = images.box_sums(image, boxes)
+    want = [image, image[2:5, 1:4], image[:2, :2], image[6:, 8:], image[:0], image[:0], image[:3, :3], image[:0]]
+    assert total.tolist() == [int(w.sum(dtype=np.int64)) for w in want] and n.tolist() == [w.size for w in want]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,7 +23,12 @@ def miss_ratio(spots: DataFrame, hits: DataFrame, boxes: DataFrame, keys: list[s
     n = lambda d, name: d.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     all_ = spots.select(*keys).unionByName(boxes.select(*keys)).distinct()
     out = all_.join(n(spots, "spots"), keys, "left").join(n(hits, "hits"), keys, "left").fillna(0, ["spots", "hits"])
-    return out.withColumn("miss_ratio", F.when(F.col("spots") == 0, 0.0).otherwise(1 - F.try_divide(F.col("hits"), F.col("spots"))))
+    return out.withColumn("miss_ratio", missed())
+
+
+def missed() -> Column:
+    """The share of spots that are not hits; 0 without spots."""
+    return F.when(F.col("spots") == 0, 0.0).otherwise(1 - F.try_divide(F.col("hits"), F.col("spots")))
 
 
 def seeded_sample(boxes: DataFrame, keys: list[str], n: int = 50, seed: int = 42) -> DataFrame:
@@ -38,7 +43,11 @@ def channel_logic(boxes: DataFrame, means: DataFrame, images: DataFrame, keys: l
     means has det_id, m1, m2 of the boxes' two channels; images the keys with mean1, mean2. A channel is present where a box's mean
     is over 1.2 times the image's. Red needs the first, green the second, yellow both.
     """
-    b = boxes.join(means, "det_id").join(images, keys)
+    return logic_rates(boxes.join(means, "det_id").join(images, keys), keys)
+
+
+def logic_rates(b: DataFrame, keys: list[str]) -> DataFrame:
+    """channel_logic from rows that hold a box's class and means and its image's means."""
     b = b.withColumns({"s1": F.col("m1") / (F.col("mean1") + 1e-6), "s2": F.col("m2") / (F.col("mean2") + 1e-6)})
     one, two, color = F.col("s1") > 1.2, F.col("s2") > 1.2, F.col("class") % 3
     b = b.withColumn("ok", F.when(color == 0, one).when(color == 1, two).otherwise(one & two))

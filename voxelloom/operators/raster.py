@@ -1,4 +1,7 @@
-"""Images in long form: rows (image keys, y, x, value). Stretch, windows, filters, resizing, box means."""
+"""Images in long form: rows (image keys, y, x, value). Stretch, windows, filters, resizing, box means.
+
+Spark takes a table of pixels for as small as the files it was made from, so joins with pixels are merge joins by hint: pixels are never broadcast.
+"""
 
 from __future__ import annotations
 
@@ -15,12 +18,12 @@ def percentile_stretch(px: DataFrame, keys: list[str], value: str, low: float =
     limits = sample.groupBy(*keys).agg(F.expr(f"percentile({value}, {low / 100}D)").alias("lo"), F.expr(f"percentile({value}, {high / 100}D)").alias("hi"), F.max(value).alias("most"))
     scaled = (F.least(F.greatest(F.col(value).cast("double"), F.col("lo")), F.col("hi")) - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(255.0)
     flat = (F.col("most") == 0) | (F.col("hi") <= F.col("lo"))
-    return px.join(limits, keys).withColumn("stretched", F.when(flat, 0).otherwise(F.floor(F.when(~flat, scaled))).cast("int")).drop("lo", "hi", "most")
+    return px.hint("merge").join(limits, keys).withColumn("stretched", F.when(flat, 0).otherwise(F.floor(F.when(~flat, scaled))).cast("int")).drop("lo", "hi", "most")
 
 
 def compose(c1: DataFrame, c2: DataFrame, keys: list[str]) -> DataFrame:
     """Both channels over the first one's pixels; a missing pixel of the second is 0."""
-    return c1.withColumnRenamed("v", "c1").join(c2.withColumnRenamed("v", "c2"), [*keys, "y", "x"], "left").withColumn("c2", F.coalesce("c2", F.lit(0)))
+    return c1.withColumnRenamed("v", "c1").hint("merge").join(c2.withColumnRenamed("v", "c2"), [*keys, "y", "x"], "left").withColumn("c2", F.coalesce("c2", F.lit(0)))
 
 
 def sliding_windows(sizes: DataFrame, xsize: int, ysize: int, step: int) -> DataFrame:
@@ -79,7 +82,7 @@ def resize_nearest(px: DataFrame, sizes: DataFrame, keys: list[str], edge: int =
     grid = grid.withColumn("ny", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("h") - 1))).withColumn("nx", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("w") - 1)))
     at = lambda n, size: F.least(F.floor(F.col(n) / F.col("scale")), F.col(size) - 1)
     grid = grid.withColumns({"y": at("ny", "height"), "x": at("nx", "width")}).select(*keys, "ny", "nx", "y", "x")
-    return grid.join(px, [*keys, "y", "x"]).drop("y", "x").withColumnsRenamed({"ny": "y", "nx": "x"})
+    return grid.join(px.hint("merge"), [*keys, "y", "x"]).drop("y", "x").withColumnsRenamed({"ny": "y", "nx": "x"})
 
 
 def box_mean(boxes: DataFrame, px: DataFrame, sizes: DataFrame, keys: list[str], box_id: str = "det_id") -> DataFrame:
@@ -90,7 +93,7 @@ def box_mean(boxes: DataFrame, px: DataFrame, sizes: DataFrame, keys: list[str],
     cut = lambda c, size: F.least(F.greatest(F.col(c).cast("bigint"), F.lit(0)), F.col(size))
     b = boxes.join(sizes, keys).select(*keys, box_id, *[cut(c, s).alias(f"_{c}") for c, s in (("x1", "width"), ("x2", "width"), ("y1", "height"), ("y2", "height"))])
     rows = b.filter("_x2 > _x1 and _y2 > _y1").withColumn("y", F.explode(F.sequence("_y1", F.col("_y2") - 1)))
-    sums = rows.join(px, [*keys, "y"]).filter("x >= _x1 and x < _x2").groupBy(box_id).agg((F.sum(F.col("c1") + F.col("c2")) / (3 * F.count(F.lit(1)))).alias("mean"))
+    sums = rows.join(px.hint("merge"), [*keys, "y"]).filter("x >= _x1 and x < _x2").groupBy(box_id).agg((F.sum(F.col("c1") + F.col("c2")) / (3 * F.count(F.lit(1)))).alias("mean"))
     return boxes.select(box_id).join(sums, box_id, "left").withColumn("mean", F.coalesce("mean", F.lit(0.0)))
 
 
